@@ -26,13 +26,12 @@ def exact_sum(df: DataFrame, name: str, scale: int) -> Column:
     aggregated on plain longs (a decimal sum took about twice the time), and
     neither half overflows below about 10**12 rows in one group.
     """
-    column = F.col(name)
     if isinstance(df.schema[name].dataType, DecimalType):
-        return F.sum(column)
-    unit = float(10 ** scale)
-    whole = column.cast("bigint")
-    rest = F.rint((column - whole) * unit).cast("bigint")
-    return (F.sum(whole).cast("double") * unit + F.sum(rest).cast("double")) / unit
+        return F.sum(name)
+    unit = f"{10 ** scale}D"
+    whole = f"CAST({name} AS BIGINT)"
+    rest = f"CAST(rint(({name} - {whole}) * {unit}) AS BIGINT)"
+    return F.expr(f"(CAST(sum({whole}) AS DOUBLE) * {unit} + sum({rest})) / {unit}")
 
 
 def exact_avg(df: DataFrame, name: str, scale: int) -> Column:

@@ -38,7 +38,7 @@ def label(name: str) -> Column:
 
 def series_id() -> Column:
     """Canonical text of the full label set, equal for equal sets."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels"))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries("labels"))))
 
 
 def sum_by(samples: DataFrame, name: str = "name") -> DataFrame:
@@ -102,12 +102,13 @@ def counter_rate(
     )
     in_order = Window.partitionBy("metric", "_series", "_chunk").orderBy("_us")
     recent = in_order.rangeBetween(-(span - 1), 0)
-    before = F.lag("value").over(in_order)
-    step = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
+    value, before = F.col("value"), F.col("_before")
+    step = F.when(value < before, value).otherwise(value - before)
     seconds = (F.col("_us") - F.min("_us").over(recent)) / F.lit(float(SECOND))
     increase = F.sum("_step").over(recent) - F.first("_step").over(recent)
     return (
-        cut.withColumn("_step", F.coalesce(step, F.lit(0.0)))
+        cut.withColumn("_before", F.lag("value").over(in_order))
+        .withColumn("_step", F.coalesce(step, F.lit(0.0)))
         .withColumn("rate", ratio(increase, seconds))
         .where(F.col("_chunk") == F.col("_own"))
         .select("metric", "labels", "ts", "rate")

@@ -18,43 +18,42 @@ from tidemart.schemas import (
 )
 
 
-def _rename(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> list[Column]:
-    """Renamed source columns; one the source lacks becomes a typed NULL."""
-    return [
-        (F.col(raw) if raw in df.columns else typed_null(kind)).alias(name)
-        for raw, (name, kind) in columns.items()
-    ]
-
-
-def _loaded_at(as_of: Instant) -> Column:
-    return instant(as_of).alias("_loaded_at")
+def _staged(
+    df: DataFrame,
+    columns: Mapping[str, tuple[str, str]],
+    as_of: Instant,
+    derived: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Renamed source columns, ``derived`` ones, and the load time.
+
+    A column that the source lacks becomes a typed NULL.
+    """
+    present = set(df.columns)
+    renamed = df.selectExpr(
+        *[
+            f"`{raw}` AS {name}" if raw in present else f"CAST(NULL AS {kind}) AS {name}"
+            for raw, (name, kind) in columns.items()
+        ]
+    )
+    return renamed.withColumns({**(derived or {}), "_loaded_at": instant(as_of)})
 
 
 def stg_customers(customer: DataFrame, loaded_at: Instant = None) -> DataFrame:
-    return customer.select(*_rename(customer, CUSTOMER_COLUMNS), _loaded_at(loaded_at))
+    return _staged(customer, CUSTOMER_COLUMNS, loaded_at)
 
 
 def stg_orders(orders: DataFrame, loaded_at: Instant = None) -> DataFrame:
-    return orders.select(*_rename(orders, ORDER_COLUMNS), _loaded_at(loaded_at))
+    return _staged(orders, ORDER_COLUMNS, loaded_at)
 
 
 def stg_lineitem(lineitem: DataFrame, loaded_at: Instant = None) -> DataFrame:
     """Line items with the net (discounted) and gross (taxed) price of each line."""
     price, discount, tax = map(F.col, ("extended_price", "discount", "tax"))
-    return (
-        lineitem.select(*_rename(lineitem, LINE_COLUMNS), _loaded_at(loaded_at))
-        .withColumns(
-            {
-                "net_price": net_price(price, discount),
-                "gross_price": gross_price(price, discount, tax),
-            }
-        )
-        .select(
-            "order_id", "line_number", "quantity", "extended_price", "discount", "tax",
-            "net_price", "gross_price", "return_flag", "line_status", "ship_date",
-            "commit_date", "ship_mode", "_loaded_at",
-        )
-    )
+    prices = {
+        "net_price": net_price(price, discount),
+        "gross_price": gross_price(price, discount, tax),
+    }
+    return _staged(lineitem, LINE_COLUMNS, loaded_at, prices)
 
 
 # Canonical column -> source column. A source without revenue leaves it out.

@@ -26,26 +26,31 @@ def _complete(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
 
 
+def _spread_keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_salt``: 0 for a complete key, else a hash of the row.
+
+    Rows with a NULL in the key match nothing, wherever they are sent. The salt
+    keeps a large number of them from meeting in one task.
+    """
+    salt = F.when(_complete(keys), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*df.columns))
+    return df.withColumn("_salt", salt)
+
+
 def _unique_or_fail(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Stop the job when a source key occurs twice.
+    """Mark the source rows, and stop the job when a complete key occurs twice.
 
     The count runs over the same partitioning and order that the join below
     needs, so the check adds no shuffle and no sort to the merge.
     """
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_salt"))
     text = F.concat(
         F.lit("merge source has more than one row for "), F.to_json(F.struct(*keys))
     )
-    types = {field.name: field.dataType for field in source.schema}
+    is_source = F.when(
+        (F.col("_copies") > 1) & _complete(keys), F.raise_error(text).cast("boolean")
+    ).otherwise(F.lit(True))
     return source.withColumn("_copies", copies).select(
-        *keys,
-        *[
-            F.when(F.col("_copies") > 1, F.raise_error(text).cast(types[name]))
-            .otherwise(F.col(name))
-            .alias(name)
-            for name in columns
-        ],
-        (F.col("_copies") > 0).alias("_from_source"),
+        *keys, "_salt", *columns, is_source.alias("_is_source")
     )
 
 
@@ -58,26 +63,22 @@ def merge_upsert(
     """The target after the merge: matched rows updated, new rows inserted.
 
     A matched row takes all update columns of the source, also its NULLs. No
-    target row is deleted. NULL keys match nothing, so those rows of either
-    side pass through outside the join. Target keys are unique by construction
-    and source keys are checked, so no join key is hot.
+    target row is deleted. A NULL in the key matches nothing, so such rows of
+    either side are kept as they are. Complete keys are unique on both sides
+    (the source is checked), so no join key is hot. Each side is read once.
     """
-    old = target.where(_complete(keys)).select(
-        *keys, *[F.col(name).alias(f"_old_{name}") for name in update_cols]
+    old = _spread_keyless(target, keys).select(
+        *keys, "_salt", *[F.col(name).alias(f"_old_{name}") for name in update_cols]
     )
-    new = _unique_or_fail(source.where(_complete(keys)), keys, update_cols)
-    merged = old.join(new, list(keys), "full").select(
+    new = _unique_or_fail(_spread_keyless(source, keys), keys, update_cols)
+    merged = old.join(new, [*keys, "_salt"], "full").select(
         *keys,
         *[
-            F.when(F.col("_from_source"), F.col(name)).otherwise(F.col(f"_old_{name}")).alias(name)
+            F.when(F.col("_is_source"), F.col(name)).otherwise(F.col(f"_old_{name}")).alias(name)
             for name in update_cols
         ],
     )
-    keyless = [side.where(~_complete(keys)) for side in (target, source)]
-    columns = target.columns
-    return reduce(
-        DataFrame.unionByName, [part.select(*columns) for part in (merged, *keyless)]
-    )
+    return merged.select(*target.columns)
 
 
 def incremental_merge(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,24 +23,44 @@ STAGING = ("stg_customers", "stg_orders", "stg_lineitem")
 MARTS = ("customer_orders", "order_revenue")
 
 
-def build_models(
-    spark: SparkSession, location: str, loaded_at: Instant = None
-) -> dict[str, DataFrame]:
-    """Staging and marts over a folder of Parquet files or a raw database.
+class Models(Mapping[str, DataFrame]):
+    """Models by name, each put together when it is first asked for.
 
-    A model refers to another one by taking its DataFrame; nothing runs until
-    a result is asked for, and only the columns it needs are scanned.
+    A model refers to another one by taking its DataFrame. Nothing runs until a
+    result is asked for, and only the tables and columns it needs are scanned.
     """
-    customers = stg_customers(scan_source(spark, location, "customer"), loaded_at)
-    orders = stg_orders(scan_source(spark, location, "orders"), loaded_at)
-    lines = stg_lineitem(scan_source(spark, location, "lineitem"), loaded_at)
-    return {
-        "stg_customers": customers,
-        "stg_orders": orders,
-        "stg_lineitem": lines,
-        "customer_orders": customer_orders(customers, orders),
-        "order_revenue": order_revenue(orders, lines),
-    }
+
+    def __init__(self, recipes: Mapping[str, Callable[[Models], DataFrame]]):
+        self._recipes = recipes
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._recipes[name](self)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._recipes)
+
+    def __len__(self) -> int:
+        return len(self._recipes)
+
+
+def build_models(spark: SparkSession, location: str, loaded_at: Instant = None) -> Models:
+    """Staging and marts over a folder of Parquet files or a raw database."""
+
+    def raw(table: str) -> DataFrame:
+        return scan_source(spark, location, table)
+
+    return Models(
+        {
+            "stg_customers": lambda m: stg_customers(raw("customer"), loaded_at),
+            "stg_orders": lambda m: stg_orders(raw("orders"), loaded_at),
+            "stg_lineitem": lambda m: stg_lineitem(raw("lineitem"), loaded_at),
+            "customer_orders": lambda m: customer_orders(m["stg_customers"], m["stg_orders"]),
+            "order_revenue": lambda m: order_revenue(m["stg_orders"], m["stg_lineitem"]),
+        }
+    )
 
 
 def run_daily(
@@ -54,7 +74,7 @@ def run_daily(
 ) -> DataFrame:
     """Load what is missing, refresh the marts, register all models, run the tests."""
     load_raw(spark, src_dir, raw, tables, buckets, location)
-    models = build_models(spark, raw)
+    models = dict(build_models(spark, raw))
     for name in STAGING:
         models[name] = as_view(models[name], name)
     for name in MARTS:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators import joins, marts, reports
-from tidemart.plans.models import build_models
+from tidemart.plans.models import Models, build_models
 from tidemart.plans.oracle import exact, money, rounded
 from tidemart.plans.registry import query
 from tidemart.sources.tables import as_view, preview, register_models, scan_source, sql
@@ -14,11 +14,10 @@ from tidemart.sources.tables import as_view, preview, register_models, scan_sour
 COUNTED = ("customer", "orders", "lineitem", "supplier", "nation", "region")
 
 
-def models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def models(spark: SparkSession, sf: str) -> Models:
     """The models without the load time, which differs from run to run."""
-    return {
-        name: df.drop("_loaded_at") for name, df in build_models(spark, sf).items()
-    }
+    built = build_models(spark, sf)
+    return Models({name: lambda _, name=name: built[name].drop("_loaded_at") for name in built})
 
 
 @query("scan_source", "select * from lineitem")
