@@ -56,7 +56,8 @@ def order_statistics(customer_orders: DataFrame) -> DataFrame:
     ).withColumns({name: money_text(F.col(name)) for name in spend})
 
 
-_RECENT = (F.desc_nulls_last("order_date"), F.asc("order_id"))
+def _newest_first() -> tuple[Column, Column]:
+    return F.desc_nulls_last("order_date"), F.asc("order_id")
 
 
 def _recent_columns(latest: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def _recent_columns(latest: DataFrame) -> DataFrame:
 
 def recent_orders(revenue: DataFrame, customers: DataFrame, n: int = 10) -> DataFrame:
     """Latest orders with their revenue, from a saved revenue mart."""
-    return _recent_columns(_take(join_inner_customer(revenue, customers), n, *_RECENT))
+    return _recent_columns(_take(join_inner_customer(revenue, customers), n, *_newest_first()))
 
 
 def recent_orders_live(
@@ -84,18 +85,18 @@ def recent_orders_live(
     """
     if n > TOP_ROWS_BROADCAST:
         return recent_orders(order_revenue(orders, lines), customers, n)
-    latest = _take(join_inner_customer(orders, customers), n, *_RECENT)
+    latest = _take(join_inner_customer(orders, customers), n, *_newest_first())
     wanted = F.broadcast(latest.select("order_id"))
     revenue = revenue_by_order(lines.join(wanted, "order_id", "left_semi"))
     with_revenue = latest.join(revenue, "order_id", "left")
     return _recent_columns(
-        with_revenue.withColumnRenamed("order_amount", "list_price").orderBy(*_RECENT)
+        with_revenue.withColumnRenamed("order_amount", "list_price").orderBy(*_newest_first())
     )
 
 
 def recent_orders_basic(orders: DataFrame, customers: DataFrame, n: int = 10) -> DataFrame:
     """Latest orders with the customer's name, from staging only."""
-    return _take(join_inner_customer(orders, customers), n, *_RECENT).select(
+    return _take(join_inner_customer(orders, customers), n, *_newest_first()).select(
         "order_id", "customer_name", money_text(F.col("order_amount")).alias("amount"),
         "order_date",
     )
