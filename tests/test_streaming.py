@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from support import values
 
 from tidemart.operators.runs import runs_per_hour
-from tidemart.sources.facts import read_fact
+from tidemart.sources.facts import create_fact, read_fact
 from tidemart.streaming import streams
 
 RECORDS = ("ts timestamp, artist_id string, track_id string, source string, streams bigint, "
@@ -62,7 +62,7 @@ def test_upsert_follows_the_stream_and_drops_what_is_too_late(spark, tmp_path):
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "fact")
-    streams.create_fact(spark, path)
+    create_fact(spark, path)
     batch = spark.createDataFrame(
         [(day(1).date(), "x", "t", 1, None, "a", day(1)),
          (day(1).date(), None, "t", 2, None, "a", day(1))],
@@ -75,7 +75,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     upsert(batch, 0)
     upsert(batch.limit(0), 1)
     assert rows_of(spark, path) == once and len(once) == 2
-    streams.create_fact(spark, path)
+    create_fact(spark, path)
     assert len(rows_of(spark, path)) == 2
 
 

@@ -144,7 +144,7 @@ def cpu_percent(samples: DataFrame, window_s: int = 120) -> DataFrame:
     )
 
 
-def series_ratio(
+def series_ratio_join(
     samples: DataFrame, numerator: str, denominator: str, by: Sequence[str] = ("name",)
 ) -> DataFrame:
     """One metric divided by another of the same labels and instant.
@@ -169,7 +169,7 @@ def series_ratio(
 
 def memory_ratio(samples: DataFrame) -> DataFrame:
     """Working set as a share of the memory limit, where a limit is set."""
-    return series_ratio(label_nonempty(samples), MEMORY, MEMORY_LIMIT)
+    return series_ratio_join(label_nonempty(samples), MEMORY, MEMORY_LIMIT)
 
 
 def rank_current(series: DataFrame, n: int | None = None) -> DataFrame:

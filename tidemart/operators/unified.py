@@ -12,7 +12,7 @@ from tidemart.functions.times import Instant
 from tidemart.operators.filters import between_dates_and_key, rolling_reprocess_window
 from tidemart.schemas import FACT_DDL, FACT_KEYS, FACT_MEASURES, check_contract
 from tidemart.session import cut_lineage
-from tidemart.sources.facts import write_fact
+from tidemart.sources.facts import create_fact, write_fact
 
 
 def union_all_sources(*sources: DataFrame) -> DataFrame:
@@ -102,12 +102,13 @@ def apply_incremental_merge(
     run_date: Instant,
     days: int = 7,
 ) -> None:
-    """Merge the window into the partitioned table at ``path``.
+    """Merge the window into the partitioned table at ``path``, made if absent.
 
     Partitions outside the window keep their files. The merged rows are
     checkpointed first, because a job cannot overwrite the files it reads; a
     rerun of the same day gives the same table.
     """
+    create_fact(spark, path)
     target = spark.read.schema(FACT_DDL).parquet(path)
     merged = cut_lineage(incremental_merge(target, sources, run_date, days))
     write_fact(merged.select(*target.columns), path, only_touched=True)

@@ -258,7 +258,8 @@ def _(spark, sf):
 
 def _event_stream(spark, sf):
     schema = _log(spark, sf).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    session = streams.stream_session(spark)
+    return session.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def _drain(spark, df):

@@ -278,7 +278,7 @@ def _(spark, sf):
     from memory n join memory d on n.name = d.name and n.ts = d.ts
     where n.metric = '{MEMORY}' and d.metric = '{MEMORY_LIMIT}' and d.value > 0""")
 def _(spark, sf):
-    return metrics.series_ratio(_memory(spark, sf), MEMORY, MEMORY_LIMIT)
+    return metrics.series_ratio_join(_memory(spark, sf), MEMORY, MEMORY_LIMIT)
 
 
 @query("memory_pct_of_limit", f"""

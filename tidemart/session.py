@@ -18,6 +18,24 @@ DEFAULTS = {
 }
 
 
+MIB = 1 << 20
+
+
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Partition sizes for a job over ``input_bytes``, to pass to ``build_session``.
+
+    Adaptive execution merges shuffle partitions but never adds any, so the
+    starting number must suit the data: about 128 MiB each, which an executor
+    core sorts and aggregates in memory.
+    """
+    partitions = min(max(-(-input_bytes // (128 * MIB)), 200), 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+    }
+
+
 def build_session(app: str = "tidemart", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the library defaults; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemart.operators.metrics import series_id
-from tidemart.schemas import FACT_DDL, FACT_KEYS
+from tidemart.schemas import FACT_KEYS
 from tidemart.session import cut_lineage
-from tidemart.sources.facts import read_fact, write_fact
+from tidemart.sources.facts import create_fact, read_fact, write_fact
 
 # A set of dates is broadcast only when the batch spans at most this many days.
 BROADCAST_DAYS = 10_000
 
 
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """Session for a stream whose state is kept in ``partitions`` parts.
+
+    The number is fixed for the life of a stream and every part writes files in
+    every batch, so it follows the cores of the cluster and not the (batch)
+    setting for shuffles.
+    """
+    session = spark.newSession()
+    count = partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(count))
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return session
+
+
 def _event_time(stream: DataFrame, name: str, delay: str) -> DataFrame:
     """Watermark on a column, which Spark wants as TIMESTAMP."""
     return stream.withColumn(name, F.col(name).cast("timestamp")).withWatermark(name, delay)
@@ -80,12 +94,6 @@ def to_grain(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     )
 
 
-def create_fact(spark: SparkSession, path: str) -> None:
-    """An empty fact table, unless there is one already."""
-    empty = spark.createDataFrame([], FACT_DDL)
-    empty.write.mode("ignore").partitionBy("event_date").parquet(path)
-
-
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Equality in which NULL equals NULL, so that a replay replaces its own rows."""
     return reduce(Column.__and__, [left[key].eqNullSafe(right[key]) for key in keys])
