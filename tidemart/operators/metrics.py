@@ -85,6 +85,10 @@ def counter_rate(
     chunk's first rates can look back at: results equal those of an uncut
     series. ``chunk_s`` is at least the window, by default twelve windows or an
     hour, so that at most one row in twelve is copied on even data.
+
+    Both windows are running ones, linear in the rows. A sliding frame would
+    visit every sample of the window again for each of its rows, which is
+    quadratic where samples are dense.
     """
     span = window_s * SECOND
     width = max(chunk_s or max(3600, 12 * window_s), window_s) * SECOND
@@ -100,17 +104,31 @@ def counter_rate(
             F.explode(F.when(seen_later, F.array("_own", next_start)).otherwise(F.array("_own"))),
         )
     )
-    in_order = Window.partitionBy("metric", "_series", "_chunk").orderBy("_us")
-    recent = in_order.rangeBetween(-(span - 1), 0)
+    series = Window.partitionBy("metric", "_series", "_chunk")
+    upwards = series.orderBy("_us")
     value, before = F.col("value"), F.col("_before")
     step = F.when(value < before, value).otherwise(value - before)
-    seconds = (F.col("_us") - F.min("_us").over(recent)) / F.lit(float(SECOND))
-    increase = F.sum("_step").over(recent) - F.first("_step").over(recent)
+    risen = F.sum(F.coalesce(step, F.lit(0.0))).over(
+        upwards.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    own_chunk = F.col("_chunk") == F.col("_own")
+    sample = F.struct(F.col("_us").alias("at"), F.lit(1).alias("kind"))
+    bound = F.struct((F.col("_us") - span).alias("at"), F.lit(0).alias("kind"))
+    # Walking back in time, the sample passed last before a bound is the first in its window.
+    first = F.last(
+        F.when(F.col("e.kind") == 1, F.struct("_us", "_risen")), ignorenulls=True
+    ).over(
+        series.orderBy(F.desc("e.at"), F.asc("e.kind")).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    seconds = (F.col("_us") - F.col("_first._us")) / F.lit(float(SECOND))
     return (
-        cut.withColumn("_before", F.lag("value").over(in_order))
-        .withColumn("_step", F.coalesce(step, F.lit(0.0)))
-        .withColumn("rate", ratio(increase, seconds))
-        .where(F.col("_chunk") == F.col("_own"))
+        cut.withColumn("_before", F.lag("value").over(upwards))
+        .withColumn("_risen", risen)
+        .withColumn("e", F.explode(F.when(own_chunk, F.array(sample, bound))
+                                   .otherwise(F.array(sample))))
+        .withColumn("_first", first)
+        .where(F.col("e.kind") == 0)
+        .withColumn("rate", ratio(F.col("_risen") - F.col("_first._risen"), seconds))
         .select("metric", "labels", "ts", "rate")
     )
 
