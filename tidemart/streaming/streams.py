@@ -28,7 +28,7 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
     session = spark.newSession()
     count = partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(count))
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.session.timeZone", "UTC")
     return session
 
 
