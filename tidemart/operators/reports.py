@@ -27,18 +27,24 @@ def _take(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
-def top_customers(customer_orders: DataFrame, n: int | None = 20) -> DataFrame:
-    """Customers by spend; ``n=None`` keeps all of them."""
+def _by_spend(customer_orders: DataFrame, n: int | None) -> DataFrame:
     best = _take(customer_orders, n, F.desc_nulls_last("total_spent"), F.asc("customer_id"))
-    return best.select(
-        "customer_id", "customer_name", "market_segment", "total_orders",
-        money_text(F.col("total_spent")).alias("total_spent"),
-        "open_orders", "fulfilled_orders", "first_order_date", "last_order_date",
+    return best.withColumn("total_spent", money_text(F.col("total_spent")))
+
+
+def top_customers(customer_orders: DataFrame, n: int = 20) -> DataFrame:
+    """The customers with the highest spend."""
+    return _by_spend(customer_orders, n).select(
+        "customer_name", "market_segment", "total_orders", "total_spent", "open_orders",
+        "fulfilled_orders", "first_order_date", "last_order_date",
     )
 
 
-def customers_by_spend(customer_orders: DataFrame) -> DataFrame:
-    return top_customers(customer_orders, n=None)
+def customers_by_spend(customer_orders: DataFrame, n: int | None = None) -> DataFrame:
+    """The short form of the same ranking; without ``n`` it lists every customer."""
+    return _by_spend(customer_orders, n).select(
+        "customer_name", "total_orders", "total_spent", "first_order_date", "last_order_date"
+    )
 
 
 def order_statistics(customer_orders: DataFrame) -> DataFrame:
@@ -163,7 +169,7 @@ def avg_order_value(customer_orders: DataFrame) -> DataFrame:
         min_orders(customer_orders, 0)
         .orderBy(F.desc_nulls_last("total_spent"), F.asc("customer_id"))
         .select(
-            "customer_id", "customer_name", "total_orders", "total_spent",
+            "customer_name", "total_orders", "total_spent",
             round_to(mean, 2).alias("avg_order_value"),
         )
     )

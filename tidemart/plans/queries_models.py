@@ -132,24 +132,22 @@ def _(spark, sf):
     )
 
 
-_TOP = f"""
-    select customer_id, customer_name, market_segment, total_orders,
-           {money("t.total_spent")} as total_spent, open_orders, fulfilled_orders,
-           first_order_date, last_order_date
-    from customer_orders t order by t.total_spent desc, customer_id"""
+_SPENT = f"{money('t.total_spent')} as total_spent, first_order_date, last_order_date"
+_RANKED = "from customer_orders t order by t.total_spent desc, customer_id"
 
 
-@query("top_customers", f"{_TOP} limit 20")
+@query("top_customers", f"select customer_name, market_segment, total_orders, open_orders, "
+       f"fulfilled_orders, {_SPENT} {_RANKED} limit 20")
 def top_customers(spark, sf):
     return reports.top_customers(models(spark, sf)["customer_orders"])
 
 
-@query("top_customers_5", f"{_TOP} limit 5")
+@query("top_customers_5", f"select customer_name, total_orders, {_SPENT} {_RANKED} limit 5")
 def _(spark, sf):
-    return reports.top_customers(models(spark, sf)["customer_orders"], 5)
+    return reports.customers_by_spend(models(spark, sf)["customer_orders"], 5)
 
 
-@query("customers_by_spend", _TOP)
+@query("customers_by_spend", f"select customer_name, total_orders, {_SPENT} {_RANKED}")
 def _(spark, sf):
     return reports.customers_by_spend(models(spark, sf)["customer_orders"])
 
@@ -203,7 +201,7 @@ def _(spark, sf):
 
 
 @query("avg_order_value", f"""
-    select customer_id, customer_name, total_orders, total_spent,
+    select customer_name, total_orders, total_spent,
            {rounded("total_spent / total_orders", 2)} as avg_order_value
     from customer_orders where total_orders > 0 order by total_spent desc, customer_id""")
 def _(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,6 +27,16 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
+def _bucketed(df: DataFrame, column: str, count: int) -> DataFrameWriter:
+    """Writer of one file per bucket.
+
+    Rows are first sent to their bucket's task, or every task would write a
+    file for every bucket. Bucket on keys that are close to unique only: a key
+    with very many rows makes a bucket that one task has to read.
+    """
+    return df.repartition(count, column).write.bucketBy(count, column).sortBy(column)
+
+
 def load_raw(
     spark: SparkSession,
     src_dir: str,
@@ -49,11 +59,9 @@ def load_raw(
         name = f"{database}.{table}"
         present = spark.catalog.tableExists(name)
         if not present:
-            writer = scan_source(spark, src_dir, table).write.mode("ignore")
-            if table in buckets:
-                column, count = buckets[table]
-                writer = writer.bucketBy(count, column).sortBy(column)
-            writer.saveAsTable(name)
+            source = scan_source(spark, src_dir, table)
+            writer = _bucketed(source, *buckets[table]) if table in buckets else source.write
+            writer.mode("ignore").saveAsTable(name)
         report.append((table, spark.table(name), present))
     return reduce(
         DataFrame.unionByName,
@@ -98,11 +106,8 @@ def materialize(
     spark = df.sparkSession
     if "." in name:
         create_database(spark, name.split(".")[0], location)
-    writer = df.write.mode("overwrite").format("parquet")
-    if bucket_by:
-        column, count = bucket_by
-        writer = writer.bucketBy(count, column).sortBy(column)
-    writer.saveAsTable(name)
+    writer = _bucketed(df, *bucket_by) if bucket_by else df.write
+    writer.mode("overwrite").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
