@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import random
 from decimal import Decimal
 
 import pytest
@@ -150,3 +151,36 @@ def test_child_counts_include_zero(spark):
     parent = spark.createDataFrame([(1,), (2,)], "k int")
     child = spark.createDataFrame([(1,), (1,), (None,)], "k int")
     assert values(joins.correlated_child_count(parent, child, "k")) == [(1, 2), (2, 0)]
+
+
+def test_merge_equals_a_plain_dictionary_update(spark):
+    rng = random.Random(11)
+
+    def side(n, offset):
+        keys = {(rng.randrange(1, 29), f"a{rng.randrange(6)}", f"t{rng.randrange(20)}")
+                for _ in range(n)}
+        return {key: row(*key, offset + i) for i, key in enumerate(sorted(keys))}
+
+    target, source = side(400, 0), side(400, 10_000)
+    merged = unified.merge_upsert(fact(spark, *target.values()), fact(spark, *source.values()))
+    want = {**target, **source}
+    assert len(want) < len(target) + len(source)
+    assert short(merged) == sorted(((*key, r["streams"], None) for key, r in want.items()),
+                                   key=repr)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    keyless = spark.range(1000).select(
+        F.lit(None).cast("string").alias("k"), F.col("id").alias("v")
+    )
+    complete = keyless.withColumn("k", F.lit("a"))
+    assert unified._spread_keyless(complete, ["k"]).select("_salt").distinct().count() == 1
+    assert unified._spread_keyless(keyless, ["k"]).select("_salt").distinct().count() == 1000
+    merged = unified.merge_upsert(keyless, keyless, ["k"], ["v"])
+    assert merged.count() == 2000
+
+
+def test_first_merge_makes_the_table(spark, tmp_path):
+    path = str(tmp_path / "new")
+    unified.apply_incremental_merge(spark, path, [fact(spark, row(20, "x", "t", 3))], "2024-01-21")
+    assert short(read_fact(spark, path, "2024-01-01", "2024-12-31")) == [(20, "x", "t", 3, None)]
