@@ -69,7 +69,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
         "event_date date, artist_id string, track_id string, streams bigint, "
         "revenue decimal(38,9), source string, updated_at timestamp",
     )
-    upsert = streams.upsert_batch(path)
+    upsert = streams.upsert_batch(spark, path)
     upsert(batch, 0)
     once = rows_of(spark, path)
     upsert(batch, 0)

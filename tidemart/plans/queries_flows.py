@@ -19,7 +19,7 @@ from tidemart.plans.oracle import money, rounded
 from tidemart.plans.queries_columns import FACT_SELECT, comparable, fact_rows
 from tidemart.plans.queries_models import models
 from tidemart.plans.registry import query
-from tidemart.schemas import FACT_DDL, FACT_MEASURES, SEED_ORDERS, check_contract
+from tidemart.schemas import FACT_DDL, SEED_ORDERS, check_contract
 from tidemart.session import fresh_path
 from tidemart.sources import facts, tables
 from tidemart.streaming import streams
@@ -315,6 +315,8 @@ def _(spark, sf):
 def _(spark, sf):
     records = inputs.platform_records(_event_stream(spark, sf))
     path = fresh_path(spark, "fact")
-    job = streams.stream_upsert(records, path, fresh_path(spark, "progress"), availableNow=True)
+    job = streams.stream_upsert(
+        records, path, fresh_path(spark, "progress"), session=spark, availableNow=True
+    )
     job.awaitTermination()
     return comparable(facts.read_fact(spark, path, *EVER))

@@ -8,8 +8,7 @@ from tidemart.functions import round_to, threshold_status
 from tidemart.functions.status import MEMORY_STEPS
 from tidemart.operators import lakehouse, metrics
 from tidemart.operators import runs as run_ops
-from tidemart.operators.filters import label_nonempty
-from tidemart.operators.metrics import CPU, DISK, MEMORY, MEMORY_LIMIT, NETWORK
+from tidemart.operators.metrics import DISK, MEMORY, MEMORY_LIMIT, NETWORK
 from tidemart.plans import inputs
 from tidemart.plans.inputs import AS_OF, RANGE
 from tidemart.plans.oracle import RATE_WINDOW_S, rounded

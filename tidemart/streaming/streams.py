@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemart.operators.metrics import series_id
 from tidemart.schemas import FACT_KEYS
-from tidemart.session import cut_lineage
+from tidemart.session import fresh_path, restage
 from tidemart.sources.facts import create_fact, read_fact, write_fact
 
 # A set of dates is broadcast only when the batch spans at most this many days.
@@ -99,41 +99,55 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[key].eqNullSafe(right[key]) for key in keys])
 
 
-def upsert_batch(path: str, keys: Sequence[str] = FACT_KEYS) -> Callable[[DataFrame, int], None]:
+def upsert_batch(
+    session: SparkSession, path: str, keys: Sequence[str] = FACT_KEYS
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that replaces rows of the fact by key.
 
     Only dates that occur in the batch are read and rewritten. Replaying a
-    batch gives the same table.
+    batch gives the same table. The batch and the merged rows are staged in the
+    shared folder and the merge runs in ``session``: dates can be much larger
+    than a batch, and the streaming session has neither adaptive execution nor
+    a partition count that would suit them.
     """
+    staging = fresh_path(session, "upsert")
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        incoming = cut_lineage(batch)
+        incoming = restage(batch, f"{staging}/incoming", session)
         low, high = incoming.agg(F.min("event_date"), F.max("event_date")).first()
         if low is None:
             return
         dates = incoming.select("event_date").distinct()
         if (high - low).days < BROADCAST_DAYS:
             dates = F.broadcast(dates)
-        touched = read_fact(spark, path, low, high).join(dates, "event_date", "left_semi")
+        touched = read_fact(session, path, low, high).join(dates, "event_date", "left_semi")
         kept = touched.join(incoming, _same_key(touched, incoming, keys), "left_anti")
-        merged = cut_lineage(kept.unionByName(incoming))
+        merged = restage(kept.unionByName(incoming), f"{staging}/merged", session)
         write_fact(merged, path, only_touched=True)
 
     return upsert
 
 
 def stream_upsert(
-    stream: DataFrame, path: str, checkpoint: str, delay: str = "7 days", **trigger
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    delay: str = "7 days",
+    session: SparkSession | None = None,
+    **trigger,
 ) -> StreamingQuery:
-    """Keep the fact table at ``path`` up to date; rows later than ``delay`` are dropped."""
-    create_fact(stream.sparkSession, path)
+    """Keep the fact table at ``path`` up to date; rows later than ``delay`` are dropped.
+
+    ``session`` runs the merges, by default the one that made the stream.
+    """
+    session = session or stream.sparkSession
+    create_fact(session, path)
     return (
         to_grain(stream, delay)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .foreachBatch(upsert_batch(path))
+        .foreachBatch(upsert_batch(session, path))
         .start()
     )
 
