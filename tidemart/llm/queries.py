@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemart.llm import mixing, packing
+from tidemart.llm import minhash, mixing, packing
 
 QUERIES = {
+    "op6_minhash_dedup": minhash.op6_minhash_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op10_source_mixing": mixing.op10_source_mixing,
 }
