@@ -230,3 +230,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def op6_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).drop("first")
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, one of each component, all columns kept.
+
+    The row with the smallest doc_id stays, null ids last; of rows that repeat
+    it, one. Only ids and flags are joined back, so rows must be told apart:
+    ids that occur once need no more, others are told apart by their text too.
+    """
+    rows = stage(docs.withColumn("#row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, id_column="#row").filter("first").select(F.col("doc_id").alias("#kept"))
+    return rows.join(found, F.col("#row") == F.col("#kept"), "left_semi").drop("#row")
