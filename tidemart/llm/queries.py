@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemart.llm import minhash, mixing, packing
+from tidemart.llm import minhash, mixing, packing, quality, toxicity
 
 QUERIES = {
+    "op2_toxicity_severity": toxicity.op2_toxicity_severity,
+    "op4_quality_cotraining": quality.op4_quality_cotraining,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op10_source_mixing": mixing.op10_source_mixing,
