@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemart.llm import minhash, mixing, packing, quality, toxicity
+from tidemart.llm import hmm, minhash, mixing, packing, quality, toxicity
 
 QUERIES = {
+    "op1_hidden_markov_scores": hmm.op1_hidden_markov_scores,
     "op2_toxicity_severity": toxicity.op2_toxicity_severity,
     "op4_quality_cotraining": quality.op4_quality_cotraining,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
