@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from tidemart.llm import hmm, minhash, mixing, packing, quality, toxicity
+from tidemart.llm import exact_search, hmm, hosts, minhash, mixing, packing, permutations, quality, toxicity
 
 QUERIES = {
     "op1_hidden_markov_scores": hmm.op1_hidden_markov_scores,
     "op2_toxicity_severity": toxicity.op2_toxicity_severity,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_quality_cotraining": quality.op4_quality_cotraining,
+    "op5_host_reputation": hosts.op5_host_reputation,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
-    "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op8_pivot_distance_topk": exact_search.op8_pivot_distance_topk,
+    "op9_permutation_index": permutations.op9_permutation_index,
     "op10_source_mixing": mixing.op10_source_mixing,
 }
 
 SQL = {
+    "op5_host_reputation": hosts.SQL,
+    "op8_pivot_distance_topk": exact_search.SQL,
     "op10_source_mixing": mixing.SQL,
 }
