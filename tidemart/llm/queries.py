@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemart.llm import exact_search, hmm, hosts, minhash, mixing, packing, permutations, quality, toxicity
+from tidemart.llm import exact_search, hmm, hosts, html, minhash, mixing, packing, permutations, quality, toxicity
 
 QUERIES = {
     "op1_hidden_markov_scores": hmm.op1_hidden_markov_scores,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality_cotraining": quality.op4_quality_cotraining,
     "op5_host_reputation": hosts.op5_host_reputation,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
+    "op7_dom_boosting": html.op7_dom_boosting,
     "op8_pivot_distance_topk": exact_search.op8_pivot_distance_topk,
     "op9_permutation_index": permutations.op9_permutation_index,
     "op10_source_mixing": mixing.op10_source_mixing,
