@@ -9,10 +9,11 @@ Large groups of copies never become pairs:
 1. Documents with equal sets are one class; only a class's first row goes on.
 2. In each bucket of a band every class is compared with one centre only; what
    is linked to it is one component. A second round takes other centres.
-3. Only then are classes of a bucket compared with each other, and only those
-   of different components, so no link between components is lost. The join
-   compares two bits of each minimum first and emits what passes that; a large
-   bucket is dealt to many tasks by a salt that follows its size.
+3. What then shares a bucket with another component is compared with what it
+   shares a rare shingle with, so that no link between components is lost and
+   documents that share a common passage only are not compared. The join looks
+   at sizes, at what can still be shared after the first common shingle and at
+   two bits of each minimum, and emits what passes that; a shingle of many rows is dealt to many tasks by a salt that follows its rows.
 
 Every link is confirmed on the full sets, made again from the whole texts.
 """
@@ -36,6 +37,7 @@ BANDS, ROWS = 32, 4
 SIMILARITY = 75
 CENTRE_ROUNDS = 2
 SALT_MEMBERS = 1024
+FREQUENT = 1 << 16
 # Of 256 signature bits 32 differ at similarity 0.75, with a deviation of 6.3: five deviations more pass.
 MOST_BITS = 64
 
@@ -146,10 +148,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(similar("left_text", "right_text")).select("a", "b")
 
 
-def close(x: str, y: str):
-    """Signatures may belong to similar sets."""
+def differing(x: str, y: str):
+    """Signature bits that differ."""
     differ = [F.bit_count(F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}"))) for k in range(4)]
-    return differ[0] + differ[1] + differ[2] + differ[3] <= MOST_BITS
+    return differ[0] + differ[1] + differ[2] + differ[3]
 
 
 def links(sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -160,34 +162,116 @@ def links(sets: DataFrame, classes: DataFrame) -> DataFrame:
     buckets = buckets.select("key", "rep")
     many = buckets.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     members = stage(buckets.join(many, "key"), "buckets")
-    near = members.select("rep").distinct()
-    texts = stage(sets.select(F.col("row").alias("rep"), *signs, "packed").join(near, "rep", "left_semi"), "texts")
+    # How many others a class meets in its buckets: the original of a group of copies meets most.
+    near = members.groupBy("rep").agg(F.sum("members").alias("met"))
+    texts = stage(sets.select(F.col("row").alias("rep"), *signs, "packed").join(near, "rep"), "texts")
     marks = texts.select("rep", *signs)
+    popular = texts.select("rep", "met")
     labels = None
     found = None
     for number in range(CENTRE_ROUNDS):
-        order = F.xxhash64("rep", F.lit(number)) if number else F.col("rep")
-        open_rows = members if labels is None else across(members, labels)
+        open_rows = (members if labels is None else across(members, labels)).join(popular, "rep")
+        # First the class that meets most others, then others at random.
+        order = F.xxhash64("rep", F.lit(number)) if number else F.struct(-F.col("met"), F.col("rep"))
         centres = open_rows.groupBy("key").agg(F.min_by("rep", order).alias("centre"))
         pairs = open_rows.join(centres, "key").filter("rep != centre").select(
             F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
         passed = pairs.alias("p").join(marks.alias("x"), F.col("p.a") == F.col("x.rep")).join(
-            marks.alias("y"), F.col("p.b") == F.col("y.rep")).filter(close("x", "y")).select("p.a", "p.b")
-        # One centre each is enough to begin with; the others are tried in what follows.
-        nearest = passed.groupBy("a").agg(F.min("b").alias("b"))
+            marks.alias("y"), F.col("p.b") == F.col("y.rep")).select("p.a", "p.b", differing("x", "y").alias("apart")).filter(
+            F.col("apart") <= MOST_BITS)
+        # The nearest centre by signature is tried; the others are left to what follows.
+        nearest = passed.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
         new = stage(confirmed(nearest, texts), "links")
         found = new if found is None else found.unionByName(new)
         labels = stage(components(found, "a", "b"), "labels")
-    last = across(members, labels).join(marks, "rep")
-    salts = F.ceil(F.col("members") / SALT_MEMBERS).cast("int")
-    x = last.withColumn("salt", F.pmod(F.xxhash64("rep"), salts)).alias("x")
-    y = last.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - F.lit(1).cast("long")))).alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt"))
-                  & (F.col("x.label") < F.col("y.label")) & close("x", "y")).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    left_over = across(members, labels).select("rep", "label").distinct()
+    rest = stage(sharing_rare(left_over.join(texts, "rep")), "rest")
     return found.unionByName(stage(confirmed(rest, texts), "links"))
 
 
+PREFIXES = "rep long, label long, size long, tail long, s0 long, s1 long, s2 long, s3 long, shingle long"
+
+
+def frequent_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, n) of shingles that several documents of the task hold."""
+    import zstandard
+
+    loose = zstandard.ZstdDecompressor()
+    waiting: list[np.ndarray] = []
+
+    def out() -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(waiting) if waiting else np.zeros(0, np.uint64), return_counts=True)
+        waiting.clear()
+        many = counts > 3
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], ["shingle", "n"])
+
+    held = 0
+    for batch in batches:
+        for data in batch.column(0):
+            waiting.append(shingles(loose.decompress(data.as_py()).split()))
+            held += len(waiting[-1])
+            if held > 2_000_000:
+                yield out()
+                held = 0
+    yield out()
+
+
+def sharing_rare(rest: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that may still be linked.
+
+    Two sets of this similarity share one of the first quarter (and one more)
+    of either's shingles in any common order. The order puts frequent shingles last,
+    so documents that share but a common passage never meet. It need not be
+    exact, only the same everywhere: the most frequent shingles are sent to all
+    tasks, at most ``FREQUENT`` of them, the others are in order of their hash.
+    """
+    common = rest.select("packed").mapInArrow(frequent_shingles, "shingle long, n long").groupBy("shingle").agg(
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    frequent = common.column("shingle").to_numpy().view(np.uint64)
+    by_hash = np.argsort(frequent)
+    sorted_frequent = frequent[by_hash]
+    rank = -by_hash  # the most frequent one has the first row and goes last
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        loose = zstandard.ZstdDecompressor()
+        for batch in batches:
+            firsts, sizes, tails = [], [], []
+            for data in batch.column(6):
+                found = shingles(loose.decompress(data.as_py()).split())
+                n = len(found)
+                at = np.minimum(np.searchsorted(sorted_frequent, found), max(0, len(frequent) - 1))
+                known = sorted_frequent[at] == found if len(frequent) else np.zeros(n, bool)
+                place = np.where(known, rank[at] if len(frequent) else 0, -FREQUENT - 1)
+                order = np.argsort(place, kind="stable")
+                firsts.append(found[order[:n - -(-SIMILARITY * n // 100) + 1]])
+                sizes.append(n)
+                tails.append(n - np.arange(len(firsts[-1])))
+            i = np.repeat(np.arange(len(firsts)), [len(x) for x in firsts])
+            taken = batch.select([0, 1, 2, 3, 4, 5]).take(pa.array(i))
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns[:2], pa.array(np.array(sizes, np.int64)[i]),
+                 pa.array(np.concatenate(tails) if tails else np.zeros(0, np.int64)), *taken.columns[2:],
+                 pa.array((np.concatenate(firsts) if firsts else np.zeros(0, np.uint64)).view(np.int64))],
+                [part.split()[0] for part in PREFIXES.split(", ")])
+
+    rows = rest.select("rep", "label", "s0", "s1", "s2", "s3", "packed").mapInArrow(run, PREFIXES)
+    rows = stage(rows, "prefixes")
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
+    # Only shingles of more than one component; many rows of one are dealt to many tasks.
+    counts = counts.filter("low != high").select("shingle", F.ceil(F.col("members") / SALT_MEMBERS).alias("salts"))
+    salted = rows.join(counts, "shingle")
+    x = salted.withColumn("salt", F.pmod(F.xxhash64("rep"), "salts")).alias("x")
+    y = salted.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("y")
+    # From the first shared shingle on, either set has only its tail to share; the links need this much.
+    sizes_fit = (100 + SIMILARITY) * F.least("x.tail", "y.tail") >= SIMILARITY * (F.col("x.size") + F.col("y.size"))
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.salt") == F.col("y.salt"))
+                  & (F.col("x.label") < F.col("y.label")) & sizes_fit & (differing("x", "y") <= MOST_BITS)).select(
+        F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
 def across(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Bucket rows with their component, for buckets that hold more than one."""
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
