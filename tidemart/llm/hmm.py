@@ -189,7 +189,7 @@ def expected_counts(parameters: Parameters):
 def starting_parameters(frequencies: np.ndarray) -> Parameters:
     """Emissions near the frequencies, different by chance; states that tend to stay."""
     random = np.random.default_rng(11)
-    emits = (frequencies[:, None] + 1e-9) * random.gamma(2.0, 0.5, (len(frequencies), STATES))
+    emits = frequencies[:, None] * random.gamma(2.0, 0.5, (len(frequencies), STATES))
     moves = np.full((STATES, STATES), 0.05 / max(1, STATES - 1)) + np.eye(STATES) * (0.95 - 0.05 / max(1, STATES - 1))
     even = np.full(STATES, 1 / STATES)
     return Parameters(even, even, moves, emits / emits.sum(axis=0))
@@ -206,7 +206,7 @@ def train(coded: DataFrame, frequencies: np.ndarray, steps: int = STEPS) -> Para
         emits = np.zeros_like(now.emits)
         emits[places[kinds == 0]] = values[kinds == 0]
         # A state that has seen a symbol little leans on how frequent the symbol is.
-        emits += EMISSION_ADDED * STATES * len(frequencies) * (frequencies[:, None] + 1e-9)
+        emits += EMISSION_ADDED * STATES * len(frequencies) * frequencies[:, None]
         moves = np.zeros_like(now.moves)
         moves[places[kinds == 1]] = values[kinds == 1]
         moves += 0.1
@@ -278,7 +278,9 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     for row in tail.groupBy(in_class.alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
         class_tokens[row["c"]], class_kinds[row["c"]] = row["n"], row["k"]
     counts[len(head) + 1:] = class_tokens
-    frequencies = counts / max(1.0, counts.sum())
+    # A class has room for words that no training text has.
+    room = counts + ADDED * np.r_[np.ones(1 + len(head)), class_kinds + 1]
+    frequencies = room / room.sum()
 
     coded = stage(source.mapInArrow(coder(head), CODED).withColumn("row", F.monotonically_increasing_id()), "coded")
     model = train(coded.filter(~F.col("held_out")), frequencies, steps)

@@ -59,7 +59,8 @@ def rerank(rows: pa.Table, queries: pa.Table, pivots: np.ndarray, k: int) -> pa.
             mine = posted[np.arange(len(ids)), np.argmax(opened[posted], axis=1)] == which
             mine = np.flatnonzero(mine & (numbers != own[i]))
             footrule = np.abs(place[mine] - query_place[i]).sum(axis=1, dtype=np.int32)
-            near = mine[np.argpartition(footrule, n)[:n]] if len(mine) > n else mine
+            # All that tie with the last one are reranked too: copies of one vector share their fate.
+            near = mine[footrule <= np.partition(footrule, n)[n]] if len(mine) > n else mine
             far = np.sqrt(((vectors[near] - asked[i]) ** 2).sum(axis=1))
             best = np.lexsort((ids[near], far))[:k]
             size = len(best)

@@ -25,6 +25,16 @@ def bare_words(value: bytes | None) -> list[bytes]:
     return value.translate(BARE).split() if value else []
 
 
+def words_and_stems(value: bytes | None) -> set[bytes]:
+    """Distinct bare words, and the first four and five letters of longer ones, marked by a star."""
+    words = set(bare_words(value))
+    return words | {w[:4] + b"*" for w in words if len(w) > 4} | {w[:5] + b"*" for w in words if len(w) > 5}
+
+
+def distinct_words(value: bytes | None) -> set[bytes]:
+    return set(bare_words(value))
+
+
 def bounded(rows: DataFrame, key: str, bound: int) -> DataFrame:
     """All rows if there are at most ``bound``; else about ``bound`` of them, by a hash of the key."""
     share = min(1.0, bound / max(1, rows.count()))
@@ -44,7 +54,7 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, bound: int = SAMPL
     return docs.join(F.broadcast(few), F.col("doc_id") == F.col("#id")).drop("#id")
 
 
-def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def word_counts(batches: Iterator[pa.RecordBatch], tokens=distinct_words) -> Iterator[pa.RecordBatch]:
     """(word, ones, zeros): documents of either class that hold the word, summed before the shuffle."""
 
     def out() -> pa.RecordBatch:
@@ -56,7 +66,7 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ones, zeros = Counter(), Counter()
     for batch in batches:
         for value, label in zip(binary(batch.column(0)), batch.column(1).to_pylist()):
-            (ones if label else zeros).update(set(bare_words(value)))
+            (ones if label else zeros).update(tokens(value))
             if len(ones) + len(zeros) > FLUSH_WORDS:
                 yield out()
                 ones.clear()
@@ -64,7 +74,7 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def telling_words(train: DataFrame, most: int, text_column: str = "text") -> dict[bytes, int]:
+def telling_words(train: DataFrame, most: int, text_column: str = "text", tokens=distinct_words) -> dict[bytes, int]:
     """The ``most`` words whose shares in the two classes differ most, numbered.
 
     Ranked by the deviation of the difference of two shares; at least three
@@ -75,7 +85,7 @@ def telling_words(train: DataFrame, most: int, text_column: str = "text") -> dic
     if not ones or not zeros:
         return {}
     sums = train.select(F.col(text_column).alias("text"), "#label").mapInArrow(
-        word_counts, "word binary, ones long, zeros long").groupBy("word").agg(
+        lambda batches: word_counts(batches, tokens), "word binary, ones long, zeros long").groupBy("word").agg(
         F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     share = (F.col("ones") + F.col("zeros") + 1) / (ones + zeros + 2)
     apart = F.abs(F.col("ones") / ones - F.col("zeros") / zeros) / F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
