@@ -42,20 +42,22 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def word_lists(texts) -> list[list[bytes]]:
-    """Words of every text, A-Z in lower case. A null text has none.
+def word_lists(texts):
+    """Words of one text after the other, A-Z in lower case; a null text has none.
 
     ``bytes.split`` splits at exactly the white space named in ``WORD``, and
-    ``bytes.lower`` changes A-Z only.
+    ``bytes.lower`` changes A-Z only. One text is held as words at a time.
     """
-    return [value.lower().split() if value else [] for value in binary(texts)]
+    for value in binary(texts):
+        yield value.lower().split() if value else []
 
 
-def binary(texts) -> list[bytes | None]:
-    """UTF-8 bytes of an Arrow string array."""
+def binary(texts):
+    """UTF-8 bytes of an Arrow string array, one text after the other."""
     import pyarrow as pa
 
-    return texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()).to_pylist()
+    for value in texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()):
+        yield value.as_py()
 
 
 def lower_ascii(column: Column) -> Column:

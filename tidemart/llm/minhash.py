@@ -88,16 +88,14 @@ def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         n = len(ids)
-        lists = word_lists(batch.column(1))
         sizes = np.zeros(n, np.int64)
         keys = np.zeros((n, 2), np.uint64)
         bands = np.zeros((n, BANDS), np.uint64)
         bits = np.zeros((n, 4), np.uint64)
         packed = []
-        for i, words in enumerate(lists):
+        for i, words in enumerate(word_lists(batch.column(1))):
             found = shingles(words)
             packed.append(squeeze.compress(b" ".join(words)))
-            lists[i] = None
             if not len(found):
                 continue
             sizes[i] = len(found)

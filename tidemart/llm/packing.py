@@ -28,7 +28,7 @@ from tidemart.llm.common import binary, stage, table
 
 LENGTH = 2048
 SHARD_PIECES = 1 << 15
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 GOOD_GAP = 8
 MAX_ROUNDS = 3
 
@@ -94,7 +94,7 @@ class WordIds(dict):
 
 
 PIECES = 1 << 15
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 GOOD_GAP = 8
 MAX_ROUNDS = 3
 

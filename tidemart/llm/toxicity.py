@@ -106,10 +106,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
 
     def features_of(batches):
         for batch in batches:
-            values = binary(batch.column(0))
+            found, sizes = [], []
+            for value in binary(batch.column(0)):
+                found.append(present(words_and_stems(value), vocabulary))
+                sizes.append(len(bare_words(value)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([present(words_and_stems(x), vocabulary) for x in values], pa.list_(pa.int32())),
-                 pa.array([len(bare_words(x)) for x in values], pa.int64()), batch.column(1)], ["found", "words", "label"])
+                [pa.array(found, pa.list_(pa.int32())), pa.array(sizes, pa.int64()), batch.column(1)],
+                ["found", "words", "label"])
 
     sample = rows.mapInArrow(features_of, "found array<int>, words long, label int").toArrow().sort_by([("words", "ascending"), ("label", "ascending")])
     found = [np.array(x, np.int32) for x in sample.column("found").to_pylist()]
