@@ -3,10 +3,11 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 from support import CUSTOMERS, LINES, ORDERS, assert_model, given, operators, plan, values
 
-from tidemart.functions import exact_sum
+from tidemart.functions import exact_sum, round_to
 from tidemart.operators.marts import customer_orders, order_revenue
 from tidemart.operators.staging import stg_customers, stg_lineitem, stg_orders
 from tidemart.plans.models import build_models
@@ -84,6 +85,19 @@ def test_exact_sum_is_exact_for_doubles_and_decimals(spark):
     assert decimals.agg(exact_sum(decimals, "x", 2)).first()[0] == Decimal("0.30")
 
 
+@pytest.mark.parametrize("value, count, total", [
+    (0.004, 1000, 4.0), (float("inf"), 2, float("inf")), (1e19, 3, 3e19)])
+def test_sums_are_not_cut(spark, value, count, total):
+    rows = spark.range(count).select(F.lit(value).alias("x"))
+    assert rows.agg(exact_sum(rows, "x", 2)).first()[0] == total
+
+
+def test_rounding_has_no_bound(spark):
+    large = spark.range(1).select(F.lit(1e29).alias("x"), F.lit(float("nan")).alias("y"))
+    assert large.select(round_to(F.col("x"), 2)).first()[0] == 1e29
+    assert large.select(F.isnan(round_to(F.col("y"), 2))).first()[0]
+
+
 def test_staging_renames_and_fills_missing_columns(spark):
     raw = spark.createDataFrame([(1, "A", "addr")], "c_custkey bigint, c_name string, "
                                 "c_address string")

@@ -138,3 +138,16 @@ def test_current_gauges(spark):
     assert values(metrics.current_by_table(samples(spark, *per_table))) == [
         ("lake_table_records", "s.t", 2.0)
     ]
+
+
+def test_two_instances_of_one_name_are_divided_apart(spark):
+    rows = [(m, {"name": "a", "instance": i}, 0, v) for m, i, v in (
+        (MEMORY, "1", 10.0), (MEMORY_LIMIT, "1", 100.0), (MEMORY, "2", 5.0), (MEMORY_LIMIT, "2", 10.0))]
+    df = samples(spark, *rows)
+    assert sorted(r["value"] for r in metrics.memory_ratio(df).collect()) == [0.1, 0.5]
+    assert [r["value"] for r in metrics.series_ratio_join(df, MEMORY, MEMORY_LIMIT, by=("name",)).collect()] == [0.1]
+
+
+def test_a_null_sample_does_not_break_a_rate(spark):
+    df = samples(spark, *[("c", {"name": "a"}, s, v) for s, v in ((0, 0.0), (30, None), (60, 60.0))])
+    assert [r["rate"] for r in metrics.counter_rate(df).orderBy("ts").collect()] == [None, 1.0]

@@ -33,4 +33,4 @@ def test_check_sql_takes_only_what_is_named():
 def test_partition_count_follows_the_input():
     assert cluster_settings(1)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_settings(10 * 2**40)["spark.sql.shuffle.partitions"] == str(10 * 2**13)
-    assert cluster_settings(100 * 2**40)["spark.sql.shuffle.partitions"] == "200000"
+    assert cluster_settings(100 * 2**40)["spark.sql.shuffle.partitions"] == str(100 * 2**13)

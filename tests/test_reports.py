@@ -53,9 +53,9 @@ def test_recent_orders_do_not_need_the_mart(hot):
     assert got.where("order_id >= 9000").count() == 0
 
 
-def test_recent_orders_of_many_rows_use_no_broadcast_hint(hot):
+def test_recent_orders_of_more_than_all_rows(hot):
     orders, lines, customers = hot
-    n = reports.TOP_ROWS_BROADCAST + 1
+    n = 20_000
     assert reports.recent_orders_live(orders, lines, customers, n).count() == 3000
 
 

@@ -18,20 +18,14 @@ def gross_price(extended_price: Column, discount: Column, tax: Column) -> Column
 
 
 def exact_sum(df: DataFrame, name: str, scale: int) -> Column:
-    """Sum that does not depend on the order of the rows.
+    """Sum whose shown digits do not depend on the order of the rows.
 
-    Decimal columns are summed as they are. A double that holds a value of at
-    most ``scale`` decimal digits is split into whole units and a scaled
-    remainder, each added up as a long: as exact as a decimal sum, but hash
-    aggregated on plain longs (a decimal sum took about twice the time), and
-    neither half overflows below about 10**12 rows in one group.
+    Decimal columns are summed as they are. Doubles are summed as they are too,
+    and only the sum is rounded, to ``scale`` digits; NaN, infinities and large
+    values give what a plain sum gives.
     """
-    if isinstance(df.schema[name].dataType, DecimalType):
-        return F.sum(name)
-    unit = f"{10 ** scale}D"
-    whole = f"CAST({name} AS BIGINT)"
-    rest = f"CAST(rint(({name} - {whole}) * {unit}) AS BIGINT)"
-    return F.expr(f"(CAST(sum({whole}) AS DOUBLE) * {unit} + sum({rest})) / {unit}")
+    total = F.sum(name)
+    return total if isinstance(df.schema[name].dataType, DecimalType) else F.round(total, scale)
 
 
 def exact_avg(df: DataFrame, name: str, scale: int) -> Column:
@@ -40,8 +34,12 @@ def exact_avg(df: DataFrame, name: str, scale: int) -> Column:
 
 
 def round_to(value: Column, digits: int) -> Column:
-    """Round half away from zero on the decimal text of a number."""
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    """Round half away from zero on the decimal text, to ten digits, of a number.
+
+    What no decimal can hold (1e28 and more, NaN, infinity) is rounded as a double.
+    """
+    exact = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(exact, F.round(value.cast("double"), digits))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -55,9 +53,12 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
 
 
 def money_text(value: Column) -> Column:
-    """Dollar amount with two digits, NULL for NULL."""
-    cents = F.round(value.cast("decimal(38,10)"), 2).cast("decimal(38,2)")
-    return F.concat(F.lit("$"), cents.cast("string"))
+    """Dollar amount with two digits, NULL for NULL.
+
+    Rounds half up on the decimal text (0.125 gives $0.13) and not on the binary
+    value; that is deliberate.
+    """
+    return F.when(value.isNotNull(), F.format_string("$%.2f", round_to(value, 2)))
 
 
 def safe_cast(column: Column, kind: str) -> Column:

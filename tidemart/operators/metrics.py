@@ -77,7 +77,7 @@ def counter_rate(
     The increase is the sum of the steps between neighbouring samples in
     (t - window, t]; after a reset (a smaller value) the step is the new value.
     It is divided by the time between the first and the last of those samples
-    and is NULL when there are fewer than two.
+    and is NULL when there are fewer than two. Samples without a value are left out.
 
     One series may hold a large share of all samples, so a series is cut into
     time chunks, each its own window partition. A sample within ``window_s`` of
@@ -96,7 +96,7 @@ def counter_rate(
     next_start = F.col("_own") + width
     seen_later = F.col("_us") > next_start - span
     cut = (
-        samples.withColumn("_series", series_id())
+        samples.where(F.col("value").isNotNull()).withColumn("_series", series_id())
         .withColumn("_us", micros(F.col("ts")))
         .withColumn("_own", own)
         .withColumn(
@@ -163,25 +163,29 @@ def cpu_percent(samples: DataFrame, window_s: int = 120) -> DataFrame:
 
 
 def series_ratio_join(
-    samples: DataFrame, numerator: str, denominator: str, by: Sequence[str] = ("name",)
+    samples: DataFrame, numerator: str, denominator: str, by: Sequence[str] | None = None
 ) -> DataFrame:
     """One metric divided by another of the same labels and instant.
 
+    All labels must match, unless ``by`` names those that count; the result
+    shows ``by``, or the label ``name``. Of several samples the largest counts.
+
     Both sides come from one scan and meet in one aggregation with map-side
     combine, instead of two scans and a join. Instants at which either side is
     missing, or the denominator is not positive, give no row.
     """
     metric, value = F.col("metric"), F.col("value")
+    shown, match = by or ("name",), [] if by else [series_id().alias("_series")]
     both = (
         samples.where(metric.isin(numerator, denominator))
-        .groupBy(*[label(name).alias(name) for name in by], "ts")
+        .groupBy(*[label(name).alias(name) for name in shown], *match, "ts")
         .agg(
             F.max(F.when(metric == numerator, value)).alias("_num"),
             F.max(F.when(metric == denominator, value)).alias("_den"),
         )
     )
     return positive_limit(both.where(F.col("_num").isNotNull()), "_den").select(
-        *by, "ts", ratio(F.col("_num"), F.col("_den")).alias("value")
+        *shown, "ts", ratio(F.col("_num"), F.col("_den")).alias("value")
     )
 
 

@@ -18,7 +18,6 @@ from tidemart.operators.joins import join_inner_customer
 from tidemart.operators.marts import order_revenue, revenue_by_order
 
 # A broadcast of top-k rows is allowed up to this many.
-TOP_ROWS_BROADCAST = 10_000
 
 
 def _take(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
@@ -86,13 +85,10 @@ def recent_orders_live(
     """The same rows when the mart is not saved.
 
     The latest ``n`` orders are found without touching the line items; only
-    their lines are then aggregated, instead of the lines of all orders. The
-    broadcast side has ``n`` rows by construction.
+    their lines are then aggregated, instead of the lines of all orders.
     """
-    if n > TOP_ROWS_BROADCAST:
-        return recent_orders(order_revenue(orders, lines), customers, n)
     latest = _take(join_inner_customer(orders, customers), n, *_newest_first())
-    wanted = F.broadcast(latest.select("order_id"))
+    wanted = latest.select("order_id")
     revenue = revenue_by_order(lines.join(wanted, "order_id", "left_semi"))
     with_revenue = latest.join(revenue, "order_id", "left")
     return _recent_columns(

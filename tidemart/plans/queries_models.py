@@ -110,15 +110,15 @@ def _(spark, sf):
 
 
 @query("anti_join_orphans", """
-    select l_orderkey as orphan_key, count(*) as child_rows from lineitem l
-    where not exists (select 1 from stg_orders o
-                      where o.order_id = l.l_orderkey and o.order_status = 'O')
+    select order_key as orphan_key, count(*) as child_rows
+    from (select case when l_orderkey % 7 = 0 then -l_orderkey - 1 else l_orderkey end as order_key from lineitem) l
+    where not exists (select 1 from stg_orders o where o.order_id = l.order_key)
     group by all""")
 def _(spark, sf):
-    # Every line has an order, so the open orders stand in for an incomplete parent.
-    still_open = models(spark, sf)["stg_orders"].where(F.col("order_status") == "O")
-    lines = scan_source(spark, sf, "lineitem")
-    return joins.anti_join_orphans(lines, "l_orderkey", still_open, "order_id")
+    # Every line has an order; some keys are turned negative so that there are orphans.
+    key = F.col("l_orderkey")
+    lines = scan_source(spark, sf, "lineitem").withColumn("l_orderkey", F.when(key % 7 == 0, -key - 1).otherwise(key))
+    return joins.anti_join_orphans(lines, "l_orderkey", models(spark, sf)["stg_orders"], "order_id")
 
 
 @query("correlated_child_count", """
@@ -183,12 +183,12 @@ def _(spark, sf):
 @query("order_by_aggregate", f"""
     select market_segment, count(*) as total_orders
     from order_revenue join stg_customers using (customer_id)
-    group by market_segment order by {exact("net_revenue", 4)} desc, market_segment limit 3""")
+    group by market_segment order by {exact("net_revenue", 4)} desc, market_segment""")
 def _(spark, sf):
-    # The three segments with the highest revenue; the revenue itself is not shown.
+    # By revenue, which itself is not shown.
     m = models(spark, sf)
     report = reports.revenue_by_segment(m["order_revenue"], m["stg_customers"])
-    return report.select("market_segment", "total_orders").limit(3)
+    return report.select("market_segment", "total_orders")
 
 
 @query("order_frequency_buckets", """

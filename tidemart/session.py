@@ -26,9 +26,11 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
 
     Adaptive execution merges shuffle partitions but never adds any, so the
     starting number must suit the data: about 128 MiB each, which an executor
-    core sorts and aggregates in memory.
+    core sorts and aggregates in memory. At least 200, with no upper limit.
+
+        build_session("job", **{k.replace(".", "__"): v for k, v in cluster_settings(size).items()})
     """
-    partitions = min(max(-(-input_bytes // (128 * MIB)), 200), 200_000)
+    partitions = max(-(-input_bytes // (128 * MIB)), 200)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(256 * MIB),

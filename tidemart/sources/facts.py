@@ -59,6 +59,11 @@ def _open(spark: SparkSession, path: str, schema: str | StructType | None) -> Da
     return reader.parquet(path)
 
 
+def read_all(spark: SparkSession, path: str, schema: str | StructType | None = FACT_DDL) -> DataFrame:
+    """The whole fact, all dates and rows without a date; for checks and exports."""
+    return _open(spark, path, schema)
+
+
 def read_fact(
     spark: SparkSession,
     path: str,

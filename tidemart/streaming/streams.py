@@ -14,8 +14,6 @@ from tidemart.schemas import FACT_KEYS
 from tidemart.session import fresh_path, restage
 from tidemart.sources.facts import create_fact, read_fact, write_fact
 
-# A set of dates is broadcast only when the batch spans at most this many days.
-BROADCAST_DAYS = 10_000
 
 
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
@@ -118,8 +116,6 @@ def upsert_batch(
         if low is None:
             return
         dates = incoming.select("event_date").distinct()
-        if (high - low).days < BROADCAST_DAYS:
-            dates = F.broadcast(dates)
         touched = read_fact(session, path, low, high).join(dates, "event_date", "left_semi")
         kept = touched.join(incoming, _same_key(touched, incoming, keys), "left_anti")
         merged = restage(kept.unionByName(incoming), f"{staging}/merged", session)
