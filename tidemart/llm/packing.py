@@ -28,7 +28,7 @@ from tidemart.llm.common import binary, stage, table
 
 LENGTH = 2048
 SHARD_PIECES = 1 << 15
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 GOOD_GAP = 8
 MAX_ROUNDS = 3
 
@@ -94,7 +94,7 @@ class WordIds(dict):
 
 
 PIECES = 1 << 15
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 GOOD_GAP = 8
 MAX_ROUNDS = 3
 
@@ -177,6 +177,9 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, id_column: st
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        # Workers live on after the task: their memory is not to be kept.
+        ids.clear()
+        ids.known.clear()
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"),
                        F.col(text_column).alias("text")).mapInArrow(run, PIECES)
