@@ -93,67 +93,6 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-PIECES = 1 << 15
-CACHED_WORDS = 150_000
-GOOD_GAP = 8
-MAX_ROUNDS = 3
-
-
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    return WordIds(path)
-
-
-class WordIds(dict):
-    """Token ids of words as little-endian bytes, computed once per word.
-
-    The tokenizer never joins anything across white space, so the ids of a text
-    are those of its words one after the other. A word of plain Latin letters,
-    digits and signs is normalized and cut here and only its parts go to the
-    tokenizer's model; any other word goes through the whole tokenizer.
-    """
-
-    def __init__(self, path: str) -> None:
-        import regex
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
-        # The tokenizer's own rule for parts of a word, and the byte alphabet.
-        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        # No white space or combining mark below U+0250 but for these; U+0130 has two-letter lower case.
-        self.plain = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.known: dict[str, bytes] = {}
-
-    def part(self, text: str) -> bytes:
-        letters = text if text.isascii() else "".join(map(self.alphabet.__getitem__, text.encode()))
-        ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-        if len(self.known) >= CACHED_WORDS // 2:
-            self.known.clear()
-        self.known[text] = ids
-        return ids
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if len(text) < 200 and self.plain(text) and "<|" not in text:
-            text = text.lower()
-            known = self.known
-            ids = b"".join([known.get(x) or self.part(x)
-                            for x in ((text,) if text.isalpha() else self.parts(text))])
-        else:
-            ids = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) < 100:
-            self[word] = ids
-        return ids
-
-    def text(self, value: bytes | None) -> bytes:
-        return b"".join(map(self.__getitem__, value.split())) if value else b""
-
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
