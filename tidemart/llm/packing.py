@@ -93,7 +93,6 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
