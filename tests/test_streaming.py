@@ -120,3 +120,9 @@ def test_cluster_without_shared_folder_is_refused(monkeypatch):
         shared_folder(cluster)
     conf.get = lambda key, default: "hdfs:///shared/"
     assert shared_folder(cluster) == "hdfs:///shared"
+
+
+def test_state_is_kept_on_disk(spark):
+    session = streams.stream_session(spark, 3)
+    assert session.conf.get("spark.sql.streaming.stateStore.providerClass") == streams.STATE_STORE
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"

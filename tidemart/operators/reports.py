@@ -17,8 +17,6 @@ from tidemart.operators.filters import min_orders
 from tidemart.operators.joins import join_inner_customer
 from tidemart.operators.marts import order_revenue, revenue_by_order
 
-# A broadcast of top-k rows is allowed up to this many.
-
 
 def _take(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
     """Sorted rows; with ``n`` a per-task top-n merged at the end, no full sort."""

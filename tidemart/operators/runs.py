@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions import epoch_seconds, hour_bucket, percent, round_to
+from tidemart.functions import epoch_seconds, hour_bucket, micros, percent, ratio, round_to
 from tidemart.functions.times import Instant
 from tidemart.operators.filters import (
     is_not_null,
@@ -45,10 +45,11 @@ def runs_success_rate(runs: DataFrame, as_of: Instant, days: int = DAYS) -> Data
 
 
 def runs_avg_duration(runs: DataFrame, as_of: Instant, days: int = DAYS) -> DataFrame:
-    """Mean seconds of successful runs that have ended."""
+    """Mean seconds of successful runs that have ended; whole microseconds are summed."""
     ended = is_not_null(state_equals(_recent(runs, as_of, days), "success"), "end_date")
-    seconds = epoch_seconds(F.col("end_date"), F.col("start_date"))
-    return ended.agg(round_to(F.avg(seconds), 1).alias("avg_duration"))
+    spent = micros(F.col("end_date")) - micros(F.col("start_date"))
+    mean = ratio(F.sum(spent), F.count(spent) * 1e6)
+    return ended.agg(round_to(mean, 1).alias("avg_duration"))
 
 
 def runs_active_pipelines(runs: DataFrame, as_of: Instant, days: int = DAYS) -> DataFrame:
@@ -90,7 +91,8 @@ def recent_runs(runs: DataFrame, n: int = SHOWN) -> DataFrame:
     """Latest runs; the duration of a running one is NULL."""
     seconds = epoch_seconds(F.col("end_date"), F.col("start_date"))
     latest = runs.orderBy(
-        F.desc_nulls_last("execution_date"), F.asc("dag_id"), F.asc("state")
+        F.desc_nulls_last("execution_date"), F.asc("dag_id"), F.asc("state"),
+        F.asc_nulls_last("start_date"), F.asc_nulls_last("end_date"),
     ).limit(n)
     return latest.select(
         "dag_id", "state", "execution_date", round_to(seconds, 1).alias("duration_s")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.times import Instant
 from tidemart.operators.filters import between_dates_and_key, rolling_reprocess_window
 from tidemart.schemas import FACT_DDL, FACT_KEYS, FACT_MEASURES, check_contract
-from tidemart.session import cut_lineage
+from tidemart.session import fresh_path, restage
 from tidemart.sources.facts import create_fact, write_fact
 
 
@@ -105,12 +105,15 @@ def apply_incremental_merge(
     """Merge the window into the partitioned table at ``path``, made if absent.
 
     Partitions outside the window keep their files. The merged rows are
-    checkpointed first, because a job cannot overwrite the files it reads; a
-    rerun of the same day gives the same table.
+    staged first, because a job cannot overwrite the files it reads. A rerun of
+    the same day gives the same table, but for source rows with a NULL in the
+    key: those match nothing and are inserted again.
     """
     create_fact(spark, path)
     target = spark.read.schema(FACT_DDL).parquet(path)
-    merged = cut_lineage(incremental_merge(target, sources, run_date, days))
+    merged = restage(
+        incremental_merge(target, sources, run_date, days), fresh_path(spark, "merged"), spark
+    )
     write_fact(merged.select(*target.columns), path, only_touched=True)
 
 

@@ -114,8 +114,13 @@ def fact(log: DataFrame) -> DataFrame:
 
 
 def first_load(log: DataFrame) -> DataFrame:
-    """The fact as an earlier run left it: the records up to the middle of a day."""
-    return fact(log.where(F.col("ts") < F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz")))
+    """The fact as an earlier run left it: the records up to the middle of a day.
+
+    Its streams are too high, so that rows updated and rows kept by a merge can
+    be told apart from each other and from the sources.
+    """
+    old = fact(log.where(F.col("ts") < F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz")))
+    return old.withColumn("streams", F.col("streams") + 1000)
 
 
 def platform_records(log: DataFrame) -> DataFrame:

@@ -149,7 +149,9 @@ RELATIONS = {
         )
     },
     "fact": "select * from source_a union all select * from source_b",
-    "old_fact": "select * from old_a union all select * from old_b",
+    "old_fact": """
+        select * replace (streams + 1000 as streams)
+        from (select * from old_a union all select * from old_b) f""",
     "fresh": f"select * from fact where event_date >= date '{RUN_DATE}' - 7",
     "merged": """
         select * from fresh union all

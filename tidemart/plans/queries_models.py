@@ -52,9 +52,9 @@ def _(spark, sf):
     )
 
 
-@query("preview")
+@query("preview", "select * from customer_orders order by customer_id limit 10")
 def _(spark, sf):
-    return preview(models(spark, sf)["customer_orders"], 10)
+    return preview(models(spark, sf)["customer_orders"].orderBy("customer_id"), 10)
 
 
 for _name in ("stg_customers", "stg_orders", "stg_lineitem", "customer_orders", "order_revenue"):

@@ -54,7 +54,7 @@ def _(spark, sf):
 
 
 @query("runs_avg_duration", f"""
-    select {rounded("avg((epoch_us(end_date) - epoch_us(start_date)) / 1000000.0)", 1)}
+    select {rounded("sum(epoch_us(end_date) - epoch_us(start_date)) / (count(*) * 1000000.0)", 1)}
            as avg_duration
     from run_log where state = 'success' and end_date is not null and {_WEEK}""")
 def _(spark, sf):
@@ -103,7 +103,7 @@ def _(spark, sf):
 @query("recent_runs", f"""
     select dag_id, state, execution_date,
            {rounded("(epoch_us(end_date) - epoch_us(start_date)) / 1000000.0", 1)} as duration_s
-    from run_log order by execution_date desc, dag_id, state limit 20""")
+    from run_log order by execution_date desc, dag_id, state, start_date, end_date limit 20""")
 def _(spark, sf):
     return run_ops.recent_runs(_runs(spark, sf))
 

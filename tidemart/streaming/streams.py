@@ -14,6 +14,8 @@ from tidemart.schemas import FACT_KEYS
 from tidemart.session import fresh_path, restage
 from tidemart.sources.facts import create_fact, read_fact, write_fact
 
+# Keeps state on disk, so that it may outgrow the heap of an executor.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
@@ -27,6 +29,8 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
     count = partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(count))
     session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
 
 
