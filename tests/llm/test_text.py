@@ -144,6 +144,21 @@ def test_packing(odd_docs, spark, sf):
     assert packing.pack_documents(odd_docs.limit(0), VOCABULARY).count() == 0
 
 
+def test_packed_sequences_hold_the_ids(odd_docs):
+    """The tokens come out, not only their digests: joined by piece they are those of the documents."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(VOCABULARY)
+    docs = odd_docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    want = {r.doc_id: [*whole.encode(r.text or "", add_special_tokens=False).ids, 0] for r in docs.collect()}
+    unpacked = defaultdict(list)
+    packed = packing.pack(packing.pieces(docs, VOCABULARY, length=64), length=64, shard_pieces=4)
+    for r in sorted(rows(packed), key=lambda r: r["start"]):
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+        unpacked[r["doc_id"]].extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert unpacked == want
+
+
 def test_sum_of_squares_rule():
     """Every piece goes where the sum of squares becomes smallest."""
     random = np.random.default_rng(1)

@@ -23,13 +23,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write once into the shared folder and read back: cuts lineage, survives lost executors.
 
     Use it where rows are read more than once and cost more to make than to read.
     """
     spark = df.sparkSession
-    return restage(df, fresh_path(spark, label), spark)
+    return restage(df, fresh_path(spark, label), spark, **options)
 
 
 def drop_staged(df: DataFrame) -> None:

@@ -5,6 +5,9 @@ Full pieces are sequences of their own. The others are packed by the
 sum-of-squares rule: with N(g) open sequences that have g free places, a piece
 goes where the sum of N(g)^2 over all g becomes smallest.
 
+The token ids stay with their pieces: little-endian, four bytes each, staged once.
+Only row numbers and lengths are packed; the places found are joined back to the ids.
+
 Scale: the pieces are dealt to shards of a bounded number of pieces by a hash of
 a row number, so that neither one key nor copies of one document make a shard
 large; the state in a task is the shard's pieces and one counter per gap. The
@@ -14,10 +17,9 @@ shards and packed once more, until one shard holds what is left.
 
 from __future__ import annotations
 
-import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -93,28 +95,34 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary"
+BATCH_BYTES = 1 << 22
 
 
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, id_column: str = "doc_id",
            text_column: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32. A null text is empty: one id 0."""
+    """One row per piece: doc_id, piece, start, length, ids. A null text is empty: one id 0."""
     step = 4 * length
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)],
+                                          [f.split()[0] for f in PIECES.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = tokenizer(vocabulary)
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for doc, value in zip(batch.column(0).to_pylist(), binary(batch.column(1))):
                 data = ids.text(value) + b"\0\0\0\0"
                 for number, at in enumerate(range(0, len(data), step)):
                     cut = data[at:at + step]
-                    rows.append((doc, number, at // 4, len(cut) // 4, zlib.crc32(cut)))
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    rows.append((doc, number, at // 4, len(cut) // 4, cut))
+                    held += len(cut)
+                    if held >= BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+            yield batch_of(rows)
         # Workers live on after the task: their memory is not to be kept.
         ids.clear()
         ids.known.clear()
@@ -165,22 +173,22 @@ def fill_in_order(sizes: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-PACKED = PIECES + ", row long, shard long, bin long, offset long, gap long"
+PACKED = "row long, length long, shard long, bin long, offset long, gap long"
 
 
 def pack(found: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; gapless from 0 in every sequence.
+    """Pieces with ``sequence_id``, ``offset`` and ``ids_crc32``; gapless from 0 in every sequence.
 
     Nulls in doc_id and repeated rows are pieces like others. An empty table
-    gives an empty result.
+    gives an empty result. The tokens of a sequence are the ``ids`` of its pieces, by
+    ``offset``.
     """
-    spark = found.sparkSession
-    found = stage(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    found = stage(found.withColumn("row", F.monotonically_increasing_id()), "pieces", compression="zstd")
     whole = found.filter(F.col("length") == length).select(
         *[c for c in found.columns if c != "row"],
         (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    results = [whole]
-    left = found.filter(F.col("length") < length)
+    places = []
+    left = found.filter(F.col("length") < length).select("row", "length")
     n = left.count()
     shards = max(1, -(-n // shard_pieces))
 
@@ -205,22 +213,21 @@ def pack(found: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECE
         packed = dealt.groupBy("shard").applyInArrow(run, PACKED)
         packed = packed if last else stage(packed, "packed")
         good = packed if last else packed.filter(F.col("gap") <= GOOD_GAP)
-        results.append(good.select(
-            *whole.columns[:-2],
-            (F.col("bin") + F.col("shard") * (1 << 31) + F.lit(round_number << 60)).alias("sequence_id"),
+        places.append(good.select(
+            "row", (F.col("bin") + F.col("shard") * (1 << 31) + F.lit(round_number << 60)).alias("sequence_id"),
             "offset"))
         if last:
             break
-        left = packed.filter(F.col("gap") > GOOD_GAP).select(found.columns)
+        left = packed.filter(F.col("gap") > GOOD_GAP).select("row", "length")
         n = left.count()
         shards = max(1, -(-n // shard_pieces))
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionByName(more)
-    return out
+    found_places = reduce(DataFrame.unionByName, places)
+    parts = found.filter(F.col("length") < length).join(found_places, "row").select(whole.columns)
+    return whole.unionByName(parts).withColumn("ids_crc32", F.crc32("ids"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
+    """The packed sequences of ``docs``, a row for each piece, with its token ids."""
     return pack(pieces(docs, vocabulary, length), length)
 
 
@@ -231,4 +238,6 @@ def default_vocabulary() -> str:
 
 
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_documents(table(spark, folder, "documents"), default_vocabulary())
+    """Digests of the packed ids in place of the ids."""
+    packed = pack_documents(table(spark, folder, "documents"), default_vocabulary())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

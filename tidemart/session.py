@@ -78,11 +78,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def restage(df: DataFrame, path: str, session: SparkSession) -> DataFrame:
+def restage(df: DataFrame, path: str, session: SparkSession, **options: str) -> DataFrame:
     """Lineage cut for repeated use: a table that the next call replaces.
 
     It is read back by ``session``, so that a batch session can go on where a
     streaming one, which runs without adaptive execution, has produced rows.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return session.read.schema(df.schema).parquet(path)
