@@ -43,6 +43,20 @@ def test_main_text(spark, sf):
     assert html.main_text(pages, None).count() == 7
 
 
+@pytest.mark.parametrize("tag", "noscript svg math video audio object option select canvas template datalist".split())
+def test_no_text_is_lost_to_tags_without_an_end(tag):
+    def runs(page):
+        return " ".join(" ".join(html.parse(page).text).split())
+
+    for page in (f"<{tag}><article><p>one</p><p>two", f"<article><p>one <{tag}></p><p>two</p></article>",
+                 f"<article><p>one</p><{tag}>two</{tag}></article>"):
+        assert runs(page) == "one two", page
+        tree = html.parse(page)
+        if f"</{tag}>" not in page:
+            assert not any(tree.bad[i] for i in range(len(tree.tag)) if tree.tag[i] in ("article", "p", "#"))
+            assert html.decode(tree, np.where([x == 0 for x in html.plain_labels(tree)], 0.01, 0.99)).split() == ["one", "two"]
+
+
 def test_decoding_has_no_contradictions():
     tree = html.parse("<nav><p>a b</p><p>c d</p></nav><div><p>e</p></div>")
     for seed in range(50):

@@ -35,13 +35,16 @@ SAMPLE_CHARS = 100_000
 SURE = 0.9
 
 # HTML elements by what they do, and words that name parts of pages.
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math select option datalist head object audio video canvas".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes head".split())
+# May stand in a paragraph, and are nodes only if they have an end tag. A choice holds options, no other blocks.
+PARTS = frozenset("noscript template svg select datalist object audio video canvas".split())
+CHOICES = frozenset("select datalist option".split())
 BLOCKS = frozenset("""html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form
-h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption legend button label""".split())
+h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption legend button label option""".split()) | PARTS
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr", {"table"}),
-             "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"})}
-BAD_TAGS = frozenset("nav footer aside form menu dialog button label fieldset search".split())
+             "option": ("option", {"select", "datalist"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"})}
+BAD_TAGS = frozenset("nav footer aside form menu dialog button label fieldset search select datalist option template".split())
 GOOD_TAGS = frozenset(("article", "main"))
 BAD_WORDS = frozenset("""nav navigation navbar menu breadcrumb breadcrumbs header masthead footer sidebar aside complementary contentinfo banner
 ad ads adv advert adverts advertisement advertising promo promotion promoted sponsor sponsored cookie cookies consent gdpr notice notices alert
@@ -83,6 +86,7 @@ def parse(page: str) -> Tree:
     linked = links = 0
     in_link = False
     at, end = 0, len(page)
+    closes: dict[str, int] = {}  # the next end tag of a part, found once
 
     def flush() -> None:
         nonlocal linked, links
@@ -143,9 +147,18 @@ def parse(page: str) -> Tree:
             in_link = True
             links += 1
         elif name in BLOCKS:
+            if name in PARTS:
+                if closes.get(name, -1) < at:
+                    close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at)
+                    closes[name] = end if close is None else close.start()
+                if closes[name] == end or attributes.rstrip().endswith("/"):
+                    continue
             flush()
             if name == "hr":
                 continue
+            if name != "option" and not CHOICES.isdisjoint(names):
+                k = next(k for k, x in enumerate(names) if x in CHOICES)
+                del names[k:], stack[k:]
             if name in CLOSED_BY:
                 same, wall = CLOSED_BY[name]
                 for k in range(len(names) - 1, 0, -1):
@@ -154,7 +167,7 @@ def parse(page: str) -> Tree:
                         break
                     if names[k] in wall:
                         break
-            elif "p" in names and name not in ("button", "label"):
+            elif "p" in names and name not in ("button", "label", "option") and name not in PARTS:
                 k = len(names) - 1 - names[::-1].index("p")
                 del names[k:], stack[k:]
             bad, good = name in BAD_TAGS, name in GOOD_TAGS
