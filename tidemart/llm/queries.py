@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemart.llm import exact_search, hmm, hosts, html, minhash, mixing, packing, permutations, quality, toxicity
+from tidemart.llm import (
+    exact_search, hmm, hosts, html, minhash, mixing, packing, permutations, quality, toxicity, wavelet,
+)
 
 QUERIES = {
     "op1_hidden_markov_scores": hmm.op1_hidden_markov_scores,
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_pivot_distance_topk": exact_search.op8_pivot_distance_topk,
     "op9_permutation_index": permutations.op9_permutation_index,
     "op10_source_mixing": mixing.op10_source_mixing,
+    "op13_wavelet_tokens": wavelet.op13_wavelet_tokens,
 }
 
 SQL = {
