@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemart.llm import (
-    exact_search, hmm, hosts, html, minhash, mixing, packing, permutations, quality, toxicity, wavelet,
+    alignment, exact_search, hmm, hosts, html, minhash, mixing, packing, permutations, quality, toxicity, wavelet,
 )
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_pivot_distance_topk": exact_search.op8_pivot_distance_topk,
     "op9_permutation_index": permutations.op9_permutation_index,
     "op10_source_mixing": mixing.op10_source_mixing,
+    "op12_token_alignment": alignment.op12_token_alignment,
     "op13_wavelet_tokens": wavelet.op13_wavelet_tokens,
 }
 
