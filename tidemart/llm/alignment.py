@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ COUNT_LINKS = 1 << 22
 
 # Unicode white space, as the first tokenizer's rule for words sees it.
 SPACE = " \t-\r\u0085   -     　"
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+(?:[{SPACE}]+\\Z)?|[{SPACE}]+")
 INNER_SPACE = re.compile(f"[^{SPACE}][{SPACE}]")
 BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
@@ -61,11 +63,21 @@ class ByteTokens:
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             self.bytes[number] = token_bytes(token) if BYTE_OF.keys() >= set(token) else token.encode()
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         ranks = {token_bytes(t): k for k, t in enumerate(tokens)}
         self.merges = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        return [self.ids[found] for found in self.merges.encode_ordinary_batch(chunks, num_threads=1)]
+    def chunks(self, chunks: list[str], n_joined: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks, end to end, and where each ends (from 0).
+
+        The first ``n_joined`` begin with white space and end with other text,
+        so they can be encoded as one text.
+        """
+        joined = self.ids[np.array(self.merges.encode_ordinary("".join(chunks[:n_joined])), np.int64)]
+        stops = np.cumsum([0, *map(len, map(str.encode, chunks[:n_joined]))])
+        ends = np.searchsorted(np.cumsum(self.sizes[joined]), stops[1:]) + 1
+        others, other_ends = flat_of([self.ids[self.merges.encode_ordinary(c)] for c in chunks[n_joined:]])
+        return np.concatenate([joined, others]), np.concatenate([[0], ends, len(joined) + other_ends[1:]])
 
 
 class PieceTokens:
@@ -77,24 +89,26 @@ class PieceTokens:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(k) for k in range(len(self.model))]
         plain = [p.replace("▁", " ") for p in pieces]
-        # Merges never cross from text to space only if no piece does.
-        self.apart = not any(INNER_SPACE.search(p) for p in plain)
+        # A piece may join these to the text before them; elsewhere merges never cross from text to space.
+        self.joining = "".join({m[0][1] for p in plain for m in INNER_SPACE.finditer(p)})
         self.bytes = [bytes([int(m[1], 16)]) if (m := BYTE_PIECE.fullmatch(p)) else p.encode() for p in plain]
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         self.space = self.model.piece_to_id("▁")
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text), np.int64)
 
-    def chunks(self, chunks: list[str]) -> list[np.ndarray | None]:
-        """None for a chunk that only the whole text can tell."""
-        if not self.apart:
-            return [None] * len(chunks)
-        out: list[np.ndarray | None] = []
-        for chunk, found in zip(chunks, self.model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)):
+    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Ids of the chunks, where each ends (from 0), and the chunks that only the whole text can tell."""
+        found = self.model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        apart = []
+        for i, chunk in enumerate(chunks):
             if chunk[0] != " ":  # the space put before it is not the text's own
-                found = found[1:] if found and found[0] == self.space else None
-            out.append(None if found is None else np.array(found, np.int64))
-        return out
+                if not found[i] or found[i][0] != self.space:
+                    apart.append(i)
+                found[i] = found[i][1:]
+        ends = np.cumsum([0, *map(len, found)])
+        return np.fromiter(chain.from_iterable(found), np.int64, ends[-1]), ends, apart
 
 
 @dataclass(frozen=True)
@@ -125,8 +139,10 @@ class Both:
 
     def __init__(self, first: str, second: str) -> None:
         self.one, self.two = ByteTokens(first), PieceTokens(second)
-        self.sizes = [np.array([len(x) for x in t.bytes], np.int64) for t in (self.one, self.two)]
+        self.sizes = [self.one.sizes, self.two.sizes]
         self.digits = [decimals(len(t.bytes)) for t in (self.one, self.two)]
+        # Texts with these are encoded whole.
+        self.whole_only = re.compile(f"[{re.escape(self.two.joining)}]") if self.two.joining else None
 
     def tokens(self, texts: list[str | None]) -> Tokens:
         """Ids of each text; none of either if the bytes differ.
@@ -134,40 +150,59 @@ class Both:
         Either tokenizer cuts before white space that follows other text, so
         distinct chunks are encoded once for the group.
         """
-        per_text = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        whole = {i for i, t in enumerate(texts) if t and self.whole_only and self.whole_only.search(t)}
+        per_text = [CHUNK.findall(" " + t) if t and i not in whole else [] for i, t in enumerate(texts)]
         sizes = np.array([len(x) for x in per_text], np.int64)
-        coded = pa.array([c for each in per_text for c in each], pa.string()).dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
+        coded = pa.array(chain.from_iterable(per_text), pa.string()).dictionary_encode()
         del per_text
-        a, b = self.one.chunks(chunks), self.two.chunks(chunks)
-        raw = [c.encode() for c in chunks]
-        wrong = np.array([y is not None and not (self.same(self.one, x, c) and self.same(self.two, y, c))
-                          for x, y, c in zip(a, b, raw)], bool)
-        apart = np.array([y is None for y in b], bool)
-        which = coded.indices.to_numpy().astype(np.int64)
+        chunks = coded.dictionary.to_pylist()
+        ends_in_space = np.array([c[-1] in SPACES for c in chunks], bool)
+        order = np.argsort(ends_in_space, kind="stable")
+        chunks = [chunks[k] for k in order.tolist()]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        which = place[coded.indices.to_numpy()]
+        a, a_ends = self.one.chunks(chunks, len(chunks) - int(ends_in_space.sum()))
+        b, b_ends, apart = self.two.chunks(chunks)
+        wrong = self.wrong(chunks, a, a_ends, b, b_ends)
         cuts = np.concatenate([[0], np.cumsum(sizes)])
         out = []
-        for found in (a, [y if y is not None else np.zeros(0, np.int64) for y in b]):
-            flat, starts = flat_of(found)
-            ids, chunk_ends = gather(flat, starts, which)
-            out += [ids, chunk_ends[cuts]]
+        for flat, starts in ((a, a_ends), (b, b_ends)):
+            ids, ends = gather(flat, starts, which)
+            out += [ids, ends[cuts]]
         result = Tokens(*out)
-        if not (wrong.any() or apart.any()):
+        if not (whole or wrong or apart):
             return result
         text_of = np.repeat(np.arange(len(sizes)), sizes)
+        of_chunks = lambda some: set(text_of[np.isin(which, list(some))].tolist())
+        whole |= of_chunks(apart)
         none = np.zeros(0, np.int64)
         parts_a, parts_b = np.split(result.a, result.a_ends[1:-1]), np.split(result.b, result.b_ends[1:-1])
-        for i in set(text_of[apart[which]].tolist()):
+        for i in of_chunks(wrong.difference(apart)):
+            parts_a[i] = parts_b[i] = none
+        for i in whole:
+            raw = b" " + texts[i].encode()
+            parts_a[i], _ = self.one.chunks([" " + texts[i]], 0)
             parts_b[i] = self.two.whole(texts[i])
-            if not self.same(self.two, parts_b[i], b" " + texts[i].encode()):
+            if not (self.same(self.one, parts_a[i], raw) and self.same(self.two, parts_b[i], raw)):
                 parts_a[i] = parts_b[i] = none
-        for i in set(text_of[wrong[which]].tolist()):
-            parts_a[i] = parts_b[i] = none
         return Tokens(*flat_of(parts_a), *flat_of(parts_b))
 
+    def wrong(self, chunks: list[str], a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> set[int]:
+        """Numbers of the chunks whose bytes either tokenizer does not give back."""
+        raw = [c.encode() for c in chunks]
+        text, sizes = b"".join(raw), np.array([len(c) for c in raw], np.int64)
+        found: set[int] = set()
+        for tokens, ids, ends in ((self.one, a, a_ends), (self.two, b, b_ends)):
+            if self.same(tokens, ids, text) and (run_sums(tokens.sizes[ids], ends) == sizes).all():
+                continue
+            cuts = ends.tolist()
+            found |= {k for k, c in enumerate(raw) if not self.same(tokens, ids[cuts[k]:cuts[k + 1]], c)}
+        return found
+
     @staticmethod
     def same(tokens: ByteTokens | PieceTokens, ids: np.ndarray, text: bytes) -> bool:
-        return b"".join([tokens.bytes[k] for k in ids]) == text
+        return b"".join(map(tokens.bytes.__getitem__, ids.tolist())) == text
 
 
 def decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
