@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from decimal import Decimal
 
 import pytest
+from hypothesis import given as given_values
+from hypothesis import settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from support import CUSTOMERS, LINES, ORDERS, assert_model, given, operators, plan, values
 
@@ -74,22 +78,62 @@ def test_duplicate_customers_are_kept(spark):
     assert customer_orders(customers, orders).count() == 2
 
 
-def test_exact_sum_is_exact_for_doubles_and_decimals(spark):
-    doubles = spark.range(1000).select(F.lit(0.1).alias("x"))
-    assert doubles.agg(exact_sum(doubles, "x", 2)).first()[0] == 100.0
+def total(df):
+    return df.agg(exact_sum(df, "x")).first()[0]
+
+
+def test_sums_keep_small_amounts(spark):
+    customers = given(spark, CUSTOMERS, *[{**ALICE, "customer_id": i} for i in range(3)])
+    orders = given(spark, ORDERS, *[{"order_id": i, "customer_id": i, "order_amount": 0.004} for i in range(3)])
+    assert [r.total_spent for r in customer_orders(customers, orders).collect()] == [0.004] * 3
+
+
+def test_exact_sum_of_doubles_and_decimals(spark):
     mixed = spark.createDataFrame([(-0.07,), (12345678.91,), (None,), (-0.0,)], "x double")
-    assert mixed.agg(exact_sum(mixed, "x", 2)).first()[0] == 12345678.84
-    empty = mixed.where("x > 1e9")
-    assert empty.agg(exact_sum(empty, "x", 2)).first()[0] is None
+    assert total(mixed) == math.fsum([-0.07, 12345678.91])
+    assert total(mixed.where("x > 1e9")) is None
+    assert total(mixed.where("x is null")) is None
     decimals = spark.createDataFrame([(Decimal("0.10"),)] * 3, "x decimal(15,2)")
-    assert decimals.agg(exact_sum(decimals, "x", 2)).first()[0] == Decimal("0.30")
+    assert total(decimals) == Decimal("0.30")
+    assert total(spark.range(5).select(F.col("id").cast("int").alias("x"))) == 10
+
+
+AMOUNTS = st.one_of(st.integers(-10**7, 10**7).map(lambda i: i / 100), st.floats(-1e3, 1e3).filter(lambda x: x == 0 or abs(x) > 1e-3))
+
+
+@given_values(st.lists(AMOUNTS, min_size=1, max_size=40), st.randoms())
+@settings(max_examples=12, deadline=None)
+def test_exact_sum_in_any_order(spark, values, dice):
+    """Correctly rounded below 2^24, and the same bits for every order and partitioning."""
+    once = total(spark.createDataFrame([(x,) for x in values], "x double").coalesce(1))
+    dice.shuffle(values)
+    again = total(spark.createDataFrame([(x,) for x in values], "x double").repartition(5))
+    assert once == again
+    assert once == pytest.approx(math.fsum(values), rel=3e-16)
+
+
+@pytest.mark.parametrize("values", [
+    [1e16, 1.0, -1e16], [1e18, -1e18, 0.004], [-0.004, -0.001], [-5e17, 2.5], [2.0**60, 2.0**-60, -2.0**60], [1e-30],
+    [-(2.0**61)] * 9, [0.1] * 1000])
+def test_exact_sum_is_exact(spark, values):
+    found = total(spark.createDataFrame([(x,) for x in values], "x double"))
+    assert found == (0.0 if values == [1e-30] else math.fsum(values))
+
+
+@pytest.mark.parametrize("value, count, wanted", [
+    (0.004, 1000, 4.0), (float("inf"), 2, float("inf")), (float("-inf"), 1, float("-inf")), (1e19, 3, 3e19)])
+def test_sums_are_not_cut(spark, value, count, wanted):
+    assert total(spark.range(count).select(F.lit(value).alias("x"))) == wanted
+
+
+def test_sum_with_not_a_number(spark):
+    assert math.isnan(total(spark.createDataFrame([(1.0,), (float("nan"),)], "x double")))
+    assert math.isnan(total(spark.createDataFrame([(float("inf"),), (float("-inf"),)], "x double")))
 
 
-@pytest.mark.parametrize("value, count, total", [
-    (0.004, 1000, 4.0), (float("inf"), 2, float("inf")), (1e19, 3, 3e19)])
-def test_sums_are_not_cut(spark, value, count, total):
-    rows = spark.range(count).select(F.lit(value).alias("x"))
-    assert rows.agg(exact_sum(rows, "x", 2)).first()[0] == total
+def test_floats_are_summed_as_doubles(spark):
+    floats = spark.createDataFrame([(0.5,), (1.25,)], "x float")
+    assert total(floats) == 1.75
 
 
 def test_rounding_has_no_bound(spark):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
+from pyspark.sql.types import DataType
 
 
 def net_price(extended_price: Column, discount: Column) -> Column:
@@ -17,20 +17,70 @@ def gross_price(extended_price: Column, discount: Column, tax: Column) -> Column
     return net_price(extended_price, discount) * (1 + tax)
 
 
-def exact_sum(df: DataFrame, name: str, scale: int) -> Column:
-    """Sum whose shown digits do not depend on the order of the rows.
+# A sum is kept in whole-number limbs of 24 bits. A long holds the sum of 2^39 of them.
+LIMB_BITS = 24
+LIMB = float(1 << LIMB_BITS)
+LIMB_MASK = (1 << LIMB_BITS) - 1
+WHOLE_LIMIT = float(1 << 62)
 
-    Decimal columns are summed as they are. Doubles are summed as they are too,
-    and only the sum is rounded, to ``scale`` digits; NaN, infinities and large
-    values give what a plain sum gives.
-    """
-    total = F.sum(name)
-    return total if isinstance(df.schema[name].dataType, DecimalType) else F.round(total, scale)
 
+def _limbs(value: Column) -> list[Column]:
+    """Whole numbers, lowest first, whose sum times 2^-72, 2^-48, ... 2^48 is the value.
 
-def exact_avg(df: DataFrame, name: str, scale: int) -> Column:
+    Every step is exact: a double less its whole part, and a double times a power
+    of two. Bits below 2^-72 are cut off, value by value.
+    """
+    whole = value.cast("long")
+    parts, rest = [], value - whole
+    for _ in range(3):
+        rest = rest * LIMB
+        parts.insert(0, rest.cast("long"))
+        rest = rest - parts[0]
+    low = [whole.bitwiseAND(F.lit(LIMB_MASK)), F.shiftright(whole, LIMB_BITS).bitwiseAND(F.lit(LIMB_MASK))]
+    return [*parts, *low, F.shiftright(whole, 2 * LIMB_BITS)]
+
+
+def _carried(limbs: list[Column]) -> list[Column]:
+    """The same number with every limb but the highest between 0 and 2^24."""
+    out, carry = [], None
+    for limb in limbs:
+        limb = limb if carry is None else limb + carry
+        carry = F.shiftright(limb, LIMB_BITS)
+        out.append(limb.bitwiseAND(F.lit(LIMB_MASK)))
+    return [*out[:-1], limb]
+
+
+def _number(limbs: list[Column]) -> Column:
+    """The nearest double; above 2^24 there is one rounding more."""
+    def pair(k: int) -> Column:
+        return (limbs[k + 1] * F.lit(1 << LIMB_BITS) + limbs[k]) * F.lit(2.0 ** (LIMB_BITS * (k - 3)))
+
+    top = limbs[5].cast("double") * F.lit(2.0 ** (2 * LIMB_BITS)) + limbs[4] * F.lit(LIMB)
+    return pair(0) + pair(2) + top
+
+
+def exact_sum(df: DataFrame, name: str) -> Column:
+    """Sum that is the same, bit for bit, in any order and partitioning of the rows.
+
+    Integers and decimals are summed as they are. Doubles are cut into
+    whole-number limbs, which add without rounding, and are put together once; a
+    sum of up to 5e11 rows a group is exact to 2^-72 a row. NaN, infinities and
+    values from 2^62 on (4.6e18) are added as doubles on top.
+    """
+    if df.schema[name].dataType.typeName() not in ("double", "float"):
+        return F.sum(name)
+    value = F.col(name).cast("double")
+    common = F.abs(value) < WHOLE_LIMIT
+    sums = [F.coalesce(F.sum(limb), F.lit(0)) for limb in _limbs(F.when(common, value))]
+    below = _carried(sums)[-1] < 0
+    total = F.when(below, -_number(_carried([-s for s in sums]))).otherwise(_number(_carried(sums)))
+    others = F.sum(F.when(~common, value))
+    return F.when(F.count(value) > 0, F.coalesce(others + total, total))
+
+
+def exact_avg(df: DataFrame, name: str) -> Column:
     """Mean of the non-null values, from the exact sum."""
-    return exact_sum(df, name, scale) / F.nullif(F.count(F.col(name)), F.lit(0))
+    return exact_sum(df, name) / F.nullif(F.count(F.col(name)), F.lit(0))
 
 
 def round_to(value: Column, digits: int) -> Column:

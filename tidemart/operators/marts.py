@@ -18,7 +18,7 @@ def customer_order_summary(orders: DataFrame) -> DataFrame:
     status = F.col("order_status")
     return orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        exact_sum(orders, "order_amount", 2).alias("total_spent"),
+        exact_sum(orders, "order_amount").alias("total_spent"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.count_if(status == "O").alias("open_orders"),
@@ -42,9 +42,9 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
 def revenue_by_order(lines: DataFrame) -> DataFrame:
     """One row per order that has line items."""
     return lines.groupBy("order_id").agg(
-        exact_sum(lines, "net_price", 4).alias("net_revenue"),
-        exact_sum(lines, "gross_price", 6).alias("gross_revenue"),
-        exact_sum(lines, "quantity", 2).alias("total_quantity"),
+        exact_sum(lines, "net_price").alias("net_revenue"),
+        exact_sum(lines, "gross_price").alias("gross_revenue"),
+        exact_sum(lines, "quantity").alias("total_quantity"),
         F.count(F.lit(1)).alias("line_count"),
         F.count_if(F.col("return_flag") == "R").alias("returned_lines"),
     )

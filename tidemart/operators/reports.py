@@ -47,8 +47,8 @@ def customers_by_spend(customer_orders: DataFrame, n: int | None = None) -> Data
 def order_statistics(customer_orders: DataFrame) -> DataFrame:
     """One row of totals over all customers."""
     spend = {
-        "total_revenue": exact_sum(customer_orders, "total_spent", 2),
-        "avg_customer_value": exact_avg(customer_orders, "total_spent", 2),
+        "total_revenue": exact_sum(customer_orders, "total_spent"),
+        "avg_customer_value": exact_avg(customer_orders, "total_spent"),
         "min_customer_value": F.min("total_spent"),
         "max_customer_value": F.max("total_spent"),
     }
@@ -111,9 +111,9 @@ def revenue_by_segment(revenue: DataFrame, customers: DataFrame) -> DataFrame:
     """
     per_customer = revenue.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("orders"),
-        exact_sum(revenue, "net_revenue", 4).alias("net"),
+        exact_sum(revenue, "net_revenue").alias("net"),
         F.count("net_revenue").alias("net_n"),
-        exact_sum(revenue, "return_rate_pct", 2).alias("rate"),
+        exact_sum(revenue, "return_rate_pct").alias("rate"),
         F.count("return_rate_pct").alias("rate_n"),
     )
     joined = per_customer.join(
@@ -123,9 +123,9 @@ def revenue_by_segment(revenue: DataFrame, customers: DataFrame) -> DataFrame:
         joined.groupBy("market_segment")
         .agg(
             F.sum("orders").alias("total_orders"),
-            exact_sum(joined, "net", 4).alias("net"),
+            exact_sum(joined, "net").alias("net"),
             F.sum("net_n").alias("net_n"),
-            exact_sum(joined, "rate", 2).alias("rate"),
+            exact_sum(joined, "rate").alias("rate"),
             F.sum("rate_n").alias("rate_n"),
         )
         .orderBy(F.desc_nulls_last("net"), F.asc("market_segment"))

@@ -1,7 +1,8 @@
 """The same results as ANSI SQL, for the side-by-side check on DuckDB.
 
 ``RELATIONS`` holds named sub-relations; ``check_sql`` prepends those a query
-needs. Money is summed as it is and only sums are rounded, as in the operators.
+needs. Money is summed as it is and only sums are rounded. The operators do not
+round them; their queries do, for the comparison only (``queries_models.shown``).
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ from tidemart.plans.inputs import RANGE, RUN_DATE
 from tidemart.plans.models import run_daily
 from tidemart.plans.oracle import money, rounded
 from tidemart.plans.queries_columns import FACT_SELECT, comparable, fact_rows
-from tidemart.plans.queries_models import models
+from tidemart.plans.queries_models import models, shown
 from tidemart.plans.registry import query
 from tidemart.schemas import FACT_DDL, SEED_ORDERS, check_contract
 from tidemart.session import fresh_path
@@ -50,7 +50,7 @@ def _(spark, sf):
 @query("materialize_table", "select * from customer_orders")
 def _(spark, sf):
     mart = models(spark, sf)["customer_orders"]
-    return tables.materialize(mart, f"{_database()}.customer_orders", fresh_path(spark, "marts"))
+    return shown(tables.materialize(mart, f"{_database()}.customer_orders", fresh_path(spark, "marts")))
 
 
 def _orders_as_csv(spark, sf):

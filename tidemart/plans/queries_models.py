@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators import joins, marts, reports
@@ -20,6 +20,15 @@ def models(spark: SparkSession, sf: str) -> Models:
     return Models({name: lambda _, name=name: built[name].drop("_loaded_at") for name in built})
 
 
+# Sums of doubles differ in their last bits between engines; the check compares this many digits.
+SHOWN_DIGITS = {"total_spent": 2, "net_revenue": 4, "gross_revenue": 6, "total_quantity": 2}
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """Sums rounded as the SQL rounds them; the marts themselves do not round."""
+    return df.withColumns({name: F.round(name, digits) for name, digits in SHOWN_DIGITS.items() if name in df.columns})
+
+
 @query("scan_source", "select * from lineitem")
 def _(spark, sf):
     return scan_source(spark, sf, "lineitem")
@@ -54,21 +63,21 @@ def _(spark, sf):
 
 @query("preview", "select * from customer_orders order by customer_id limit 10")
 def _(spark, sf):
-    return preview(models(spark, sf)["customer_orders"].orderBy("customer_id"), 10)
+    return shown(preview(models(spark, sf)["customer_orders"].orderBy("customer_id"), 10))
 
 
 for _name in ("stg_customers", "stg_orders", "stg_lineitem", "customer_orders", "order_revenue"):
-    query(_name, f"select * from {_name}")(lambda spark, sf, name=_name: models(spark, sf)[name])
+    query(_name, f"select * from {_name}")(lambda spark, sf, name=_name: shown(models(spark, sf)[name]))
 
 
 @query("customer_order_summary", "select * from spend")
 def _(spark, sf):
-    return marts.customer_order_summary(models(spark, sf)["stg_orders"])
+    return shown(marts.customer_order_summary(models(spark, sf)["stg_orders"]))
 
 
 @query("revenue_by_order", "select * from line_totals")
 def _(spark, sf):
-    return marts.revenue_by_order(models(spark, sf)["stg_lineitem"])
+    return shown(marts.revenue_by_order(models(spark, sf)["stg_lineitem"]))
 
 
 @query("join_customers_left_summary", "select customer_id, customer_name, total_orders, "
@@ -86,18 +95,18 @@ def _(spark, sf):
 def _(spark, sf):
     m = models(spark, sf)
     reduced = marts.revenue_by_order(m["stg_lineitem"])
-    return joins.join_left(m["stg_orders"], reduced, "order_id").select(
+    return shown(joins.join_left(m["stg_orders"], reduced, "order_id").select(
         "order_id", "order_amount", "net_revenue", "line_count"
-    )
+    ))
 
 
 @query("join_revenue_inner_customer", "select order_id, customer_name, market_segment, "
        "net_revenue from order_revenue join stg_customers using (customer_id)")
 def _(spark, sf):
     m = models(spark, sf)
-    return joins.join_inner_customer(m["order_revenue"], m["stg_customers"]).select(
+    return shown(joins.join_inner_customer(m["order_revenue"], m["stg_customers"]).select(
         "order_id", "customer_name", "market_segment", "net_revenue"
-    )
+    ))
 
 
 @query("join_orders_inner_customer", "select order_id, customer_name, order_amount, order_date "
@@ -205,7 +214,7 @@ def _(spark, sf):
            {rounded("total_spent / total_orders", 2)} as avg_order_value
     from customer_orders where total_orders > 0 order by total_spent desc, customer_id""")
 def _(spark, sf):
-    return reports.avg_order_value(models(spark, sf)["customer_orders"])
+    return shown(reports.avg_order_value(models(spark, sf)["customer_orders"]))
 
 
 @query("recent_orders", f"""
