@@ -12,9 +12,10 @@ from support import operators, plan, values
 
 from tidemart.operators.reports import raw_orders
 from tidemart.plans.models import build_models, run_daily
-from tidemart.schemas import SEED_CUSTOMERS, SEED_ORDERS
-from tidemart.sources import facts, tables
+from tidemart.schemas import FACT_DDL, SEED_CUSTOMERS, SEED_ORDERS
+from tidemart.sources import facts, partition_index, tables
 from tidemart.sources.jdbc import jdbc_options
+from tidemart.sources.partition_index import Dates
 
 SEEDS = Path(__file__).parent / "seeds"
 LOADED = ("customer", "orders", "lineitem", "nation")
@@ -142,15 +143,94 @@ def test_fact_reader_needs_a_range_and_prunes(spark, tmp_path):
         facts.read_fact(spark, path, None, "2024-01-02")
     some = facts.read_fact(spark, path, "2024-01-01", "2024-01-02")
     assert some.count() == fact(spark).where("event_date <= '2024-01-02'").count()
-    assert "PartitionFilters: [isnotnull(event_date" in plan(some)
+    assert {file.split("/")[-2] for file in some.inputFiles()} == {"event_date=2024-01-01", "event_date=2024-01-02"}
+    assert facts.read_fact(spark, path, "2030-01-01", "2030-01-02").count() == 0
+    assert facts.fact_view(spark, path, "some_days", "2024-01-02", "2024-01-02").count() == \
+        fact(spark).where("event_date = '2024-01-02'").count()
+
+
+def test_other_dates_are_not_listed(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    facts.write_fact(fact(spark), path)
+    os.makedirs(f"{path}/event_date=no-date")
+    os.link(glob.glob(f"{path}/event_date=2024-01-03/*.parquet")[0], f"{path}/event_date=no-date/x.parquet")
+    with pytest.raises(Exception, match="no-date"):
+        facts.read_all(spark, path).count()
+    assert facts.read_fact(spark, path, "2024-01-01", "2024-01-02").count() > 0
+    # Writes of single dates go on too.
+    facts.write_fact(fact(spark).where("event_date = '2024-01-02'"), path, only_touched=True)
+    assert facts.append_new(fact(spark), path).days == set()
+
+
+def test_index_follows_every_write(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    facts.create_fact(spark, path)
+    assert partition_index.read(spark, path) == Dates()
+    days = [dt.date(1960, 2, 29), dt.date(2024, 1, 1), dt.date(2059, 9, 19), dt.date(2059, 9, 20), dt.date(2101, 5, 5)]
+    row = spark.createDataFrame([(day, "x") for day in [*days, None]], "event_date date, artist_id string")
+    for n in range(len(days) + 1):
+        some = row.where(row.event_date.isin(days[:n]))
+        facts.write_fact(some, path, cluster=["artist_id"], only_touched=n % 2 == 0, mode="append" if n % 2 else "overwrite")
+        assert partition_index.read(spark, path) == Dates(frozenset(days[:n]))
+    facts.write_fact(row.where("event_date is null"), path, cluster=["artist_id"], mode="append")
+    assert partition_index.read(spark, path) == Dates(frozenset(days), True)
+    assert partition_index.rebuild(spark, path) == Dates(frozenset(days), True)
+    facts.write_fact(row.limit(0), path, cluster=["artist_id"])
+    assert partition_index.read(spark, path) == Dates()
+
+
+def test_index_is_not_trusted_after_a_failed_write(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    rows = fact(spark)
+    facts.write_fact(rows.where("event_date <= '2024-01-02'"), path)
+
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(partition_index, "replace", fail)
+        with pytest.raises(RuntimeError):
+            facts.write_fact(rows.where("event_date = '2024-01-03'"), path, mode="append")
+    assert partition_index.read(spark, path) is None
+    assert facts.read_fact(spark, path, "2024-01-03", "2024-01-03").count() == rows.where("event_date = '2024-01-03'").count()
+    assert facts.append_new(rows, path).days.isdisjoint({dt.date(2024, 1, 3)})
+    assert dt.date(2024, 1, 3) in partition_index.read(spark, path).days
 
 
 def test_append_takes_only_newer_days(spark, tmp_path):
     path = str(tmp_path / "fact")
     rows = fact(spark)
     facts.write_fact(rows.where("event_date <= '2024-01-02'"), path)
-    old = set(glob.glob(f"{path}/*/*.parquet"))
+    old = set(glob.glob(f"{path}/event_date=*/*.parquet"))
     facts.append_new(rows, path, since="2024-01-02")
-    assert old < set(glob.glob(f"{path}/*/*.parquet"))
+    assert old < set(glob.glob(f"{path}/event_date=*/*.parquet"))
     assert facts.read_fact(spark, path, "2024-01-01", "2024-12-31").count() == 2000
     assert all(os.path.exists(file) for file in old)
+
+
+def test_append_twice_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = fact(spark)
+    for _ in range(2):  # the first call makes the table
+        facts.append_new(rows, path)
+        assert facts.read_all(spark, path).count() == 2000
+
+
+def test_append_finds_later_rows_of_the_last_day(spark, tmp_path):
+    path = str(tmp_path / "fact")
+
+    def load(*rows, **options):
+        made = spark.createDataFrame([(d and dt.date(2024, 1, d), a, "t", n, None, "s", None) for d, a, n in rows], FACT_DDL)
+        facts.append_new(made, path, **options)
+        return sorted(((r.event_date and r.event_date.day, r.artist_id, r.streams) for r in facts.read_all(spark, path).collect()),
+                      key=repr)
+
+    first = [(1, "x", 1), (2, "x", 1), (2, "x", 1), (None, "x", 1)]
+    assert load(*first) == sorted(first, key=repr)
+    # Equal rows are told apart by their number; earlier days are closed.
+    more = [*first, (2, "x", 1), (2, "y", 1), (None, "y", 1), (1, "late", 1)]
+    assert load(*more) == sorted(more[:-1], key=repr)
+    assert load(*more) == sorted(more[:-1], key=repr)
+    assert load(*more, lookback_days=1) == sorted(more, key=repr)
+    # By columns: a changed measure is not a new row.
+    assert load((2, "y", 5), (2, "z", 1), match=["event_date", "artist_id"]) == sorted([*more, (2, "z", 1)], key=repr)

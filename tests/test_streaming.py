@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -79,6 +80,74 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert len(rows_of(spark, path)) == 2
 
 
+BATCH = ("event_date date, artist_id string, track_id string, streams bigint, "
+         "revenue decimal(38,9), source string, updated_at timestamp")
+
+
+def batch_of(spark, *rows):
+    return spark.createDataFrame([(day(d).date(), "x", t, n, None, "a", day(1)) for d, t, n in rows], BATCH)
+
+
+def streams_of(spark, path):
+    return sorted((r.event_date.day, r.track_id, r.streams) for r in read_fact(spark, path, *EVER).collect())
+
+
+def test_a_finished_batch_is_skipped_and_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    create_fact(spark, path)
+    upsert = streams.upsert_batch(spark, path)
+    upsert(batch_of(spark, (1, "t", 1)), 0)
+    upsert(batch_of(spark, (1, "t", 2)), 1)
+    for old in (0, 1):
+        upsert(batch_of(spark, (1, "t", 9)), old)
+    assert streams_of(spark, path) == [(1, "t", 2)]
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert not [name for name in os.listdir(folder) if name.startswith("upsert-")]
+    # Another stream has a record of its own.
+    streams.upsert_batch(spark, path, stream="other")(batch_of(spark, (1, "u", 5)), 0)
+    assert streams_of(spark, path) == [(1, "t", 2), (1, "u", 5)]
+
+
+def test_a_batch_stopped_while_it_is_written_goes_on(spark, tmp_path, monkeypatch):
+    """The write had removed a date when it stopped; the staged rows bring it back."""
+    path = str(tmp_path / "fact")
+    create_fact(spark, path)
+    upsert = streams.upsert_batch(spark, path)
+    upsert(batch_of(spark, (1, "t", 1), (2, "t", 1)), 0)
+    batch = batch_of(spark, (2, "u", 2), (3, "u", 2))
+
+    def stop(*_, **__):
+        shutil.rmtree(f"{path}/event_date=2024-01-02")
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(streams, "write_fact", stop)
+        with pytest.raises(RuntimeError):
+            upsert(batch, 1)
+    streams.upsert_batch(spark, path)(batch, 1)
+    assert streams_of(spark, path) == [(1, "t", 1), (2, "t", 1), (2, "u", 2), (3, "u", 2)]
+
+
+def test_a_batch_stopped_before_it_is_recorded_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    create_fact(spark, path)
+    batch = batch_of(spark, (2, "u", 2))
+    plain = streams._record
+
+    def stop(session, folder, batch_id, state):
+        if state == "done":
+            raise RuntimeError("stopped")
+        plain(session, folder, batch_id, state)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(streams, "_record", stop)
+        with pytest.raises(RuntimeError):
+            streams.upsert_batch(spark, path)(batch, 0)
+    for _ in range(2):
+        streams.upsert_batch(spark, path)(batch, 0)
+        assert streams_of(spark, path) == [(2, "u", 2)]
+
+
 def test_hours_equal_the_batch_report(spark, tmp_path):
     states = ("success", "failed", "running", "queued")
     runs = [(day(1, i % 20), states[i % 4]) for i in range(80)]

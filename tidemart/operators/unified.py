@@ -12,7 +12,7 @@ from tidemart.functions.times import Instant
 from tidemart.operators.filters import between_dates_and_key, rolling_reprocess_window
 from tidemart.schemas import FACT_DDL, FACT_KEYS, FACT_MEASURES, check_contract
 from tidemart.session import fresh_path, restage
-from tidemart.sources.facts import create_fact, write_fact
+from tidemart.sources.facts import create_fact, read_dates, write_fact
 
 
 def union_all_sources(*sources: DataFrame) -> DataFrame:
@@ -110,11 +110,12 @@ def apply_incremental_merge(
     key: those match nothing and are inserted again.
     """
     create_fact(spark, path)
-    target = spark.read.schema(FACT_DDL).parquet(path)
+    # Any later date too: the window has no end.
+    target = read_dates(spark, path, F.col("day") >= F.date_sub(F.lit(str(run_date)).cast("date"), days))
     merged = restage(
         incremental_merge(target, sources, run_date, days), fresh_path(spark, "merged"), spark
     )
-    write_fact(merged.select(*target.columns), path, only_touched=True)
+    write_fact(merged, path, only_touched=True)
 
 
 def dashboard_artist_daily(fact: DataFrame) -> DataFrame:

@@ -70,14 +70,6 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
-
-
 def restage(df: DataFrame, path: str, session: SparkSession, **options: str) -> DataFrame:
     """Lineage cut for repeated use: a table that the next call replaces.
 
@@ -86,3 +78,10 @@ def restage(df: DataFrame, path: str, session: SparkSession, **options: str) ->
     """
     df.write.mode("overwrite").options(**options).parquet(path)
     return session.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, in any file system that Spark reaches."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from hashlib import sha1
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemart.operators.metrics import series_id
 from tidemart.schemas import FACT_KEYS
-from tidemart.session import fresh_path, restage
-from tidemart.sources.facts import create_fact, read_fact, write_fact
+from tidemart.session import delete_folder, restage, shared_folder
+from tidemart.sources.facts import create_fact, read_dates, write_fact
 
 # Keeps state on disk, so that it may outgrow the heap of an executor.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -101,29 +103,60 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[key].eqNullSafe(right[key]) for key in keys])
 
 
+COMMITS = "batch_id bigint, state string"
+
+
+def _last_commit(session: SparkSession, folder: str) -> tuple[int, str]:
+    """The last batch on record and how far it has come; none on record counts as done before the first."""
+    try:
+        rows = session.read.schema(COMMITS).parquet(folder).collect()
+    except AnalysisException:
+        rows = []
+    return max(((row.batch_id, row.state) for row in rows), default=(-1, "done"))
+
+
+def _record(session: SparkSession, folder: str, batch_id: int, state: str) -> None:
+    row = session.createDataFrame([(batch_id, state)], COMMITS)
+    row.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
 def upsert_batch(
-    session: SparkSession, path: str, keys: Sequence[str] = FACT_KEYS
+    session: SparkSession, path: str, keys: Sequence[str] = FACT_KEYS, stream: str = "stream"
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that replaces rows of the fact by key.
 
-    Only dates that occur in the batch are read and rewritten. Replaying a
-    batch gives the same table. The batch and the merged rows are staged in the
-    shared folder and the merge runs in ``session``: dates can be much larger
-    than a batch, and the streaming session has neither adaptive execution nor
-    a partition count that would suit them.
+    Only dates that occur in the batch are read and rewritten. The batch and the
+    merged rows are staged in the shared folder and the merge runs in
+    ``session``: dates can be much larger than a batch, and the streaming session
+    has neither adaptive execution nor a partition count that would suit them.
+
+    A record beside the table, one for each ``stream`` (a name that stays the
+    same when the stream starts again), says how far the last batch has come. A
+    batch that is done is skipped when it is replayed. One that was merged but maybe not
+    written is written again from its staged rows, since dates that the
+    write had already replaced or removed can't be merged again. Staged rows of
+    a batch are deleted once it is done.
     """
-    staging = fresh_path(session, "upsert")
+    record = f"{path}/_commits/{stream}"
+    staging = f"{shared_folder(session)}/upsert-{sha1(record.encode()).hexdigest()}"
 
-    def upsert(batch: DataFrame, _batch_id: int) -> None:
-        incoming = restage(batch, f"{staging}/incoming", session)
-        low, high = incoming.agg(F.min("event_date"), F.max("event_date")).first()
-        if low is None:
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        last, state = _last_commit(session, record)
+        if batch_id < last or (batch_id == last and state == "done"):
             return
-        dates = incoming.select("event_date").distinct()
-        touched = read_fact(session, path, low, high).join(dates, "event_date", "left_semi")
-        kept = touched.join(incoming, _same_key(touched, incoming, keys), "left_anti")
-        merged = restage(kept.unionByName(incoming), f"{staging}/merged", session)
+        if batch_id == last:
+            merged = session.read.schema(batch.schema).parquet(f"{staging}/merged")
+        else:
+            incoming = restage(batch, f"{staging}/incoming", session)
+            days = [row.event_date for row in incoming.select("event_date").distinct().collect()]
+            touched = read_dates(session, path, F.col("day").isin([day for day in days if day is not None]),
+                                 none=None in days)
+            kept = touched.join(incoming, _same_key(touched, incoming, keys), "left_anti")
+            merged = restage(kept.select(incoming.columns).unionByName(incoming), f"{staging}/merged", session)
+            _record(session, record, batch_id, "merged")
         write_fact(merged, path, only_touched=True)
+        _record(session, record, batch_id, "done")
+        delete_folder(session, staging)
 
     return upsert
 
@@ -138,7 +171,8 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Keep the fact table at ``path`` up to date; rows later than ``delay`` are dropped.
 
-    ``session`` runs the merges, by default the one that made the stream.
+    ``session`` runs the merges, by default the one that made the stream. The
+    record of finished batches belongs to ``checkpoint``, whose batches it counts.
     """
     session = session or stream.sparkSession
     create_fact(session, path)
@@ -147,7 +181,7 @@ def stream_upsert(
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .foreachBatch(upsert_batch(session, path))
+        .foreachBatch(upsert_batch(session, path, stream=sha1(checkpoint.rstrip("/").encode()).hexdigest()))
         .start()
     )
 
