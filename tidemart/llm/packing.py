@@ -12,87 +12,26 @@ Scale: the pieces are dealt to shards of a bounded number of pieces by a hash of
 a row number, so that neither one key nor copies of one document make a shard
 large; the state in a task is the shard's pieces and one counter per gap. The
 sequences that a shard leaves badly filled are opened again, dealt to fewer
-shards and packed once more, until one shard holds what is left.
+shards and packed once more, until one shard holds what is left or a round does not lower
+the number of shards.
 """
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import binary, stage, table
+from tidemart.llm.common import stage, table
+from tidemart.llm.encoding import word_encoder
 
 LENGTH = 2048
 SHARD_PIECES = 1 << 15
-CACHED_WORDS = 150_000
 GOOD_GAP = 8
-MAX_ROUNDS = 3
-
-
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    return WordIds(path)
-
-
-class WordIds(dict):
-    """Token ids of words as little-endian bytes, computed once per word.
-
-    The tokenizer never joins anything across white space, so the ids of a text
-    are those of its words one after the other. A word of plain Latin letters,
-    digits and signs is normalized and cut here and only its parts go to the
-    tokenizer's model; any other word goes through the whole tokenizer.
-    """
-
-    def __init__(self, path: str) -> None:
-        import regex
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
-        # The tokenizer's own rule for parts of a word, and the byte alphabet.
-        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        # No white space or combining mark below U+0250 but for these; U+0130 has two-letter lower case.
-        self.plain = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.known: dict[str, bytes] = {}
-
-    def part(self, text: str) -> bytes:
-        letters = text if text.isascii() else "".join(map(self.alphabet.__getitem__, text.encode()))
-        ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-        if len(self.known) >= CACHED_WORDS // 2:
-            self.known.clear()
-        self.known[text] = ids
-        return ids
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if len(text) < 200 and self.plain(text) and "<|" not in text:
-            text = text.lower()
-            known = self.known
-            ids = b"".join([known.get(x) or self.part(x)
-                            for x in ((text,) if text.isalpha() else self.parts(text))])
-        else:
-            ids = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) < 100:
-            self[word] = ids
-        return ids
-
-    def text(self, value: bytes | None) -> bytes:
-        """Ids of a text. The tokenizer lowers letters itself, but not in its special tokens."""
-        if not value:
-            return b""
-        words = value.split() if b"<|" in value else value.lower().split()
-        return b"".join(map(self.__getitem__, words))
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -102,30 +41,29 @@ BATCH_BYTES = 1 << 22
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, id_column: str = "doc_id",
            text_column: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids. A null text is empty: one id 0."""
-    step = 4 * length
-
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)],
                                           [f.split()[0] for f in PIECES.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = tokenizer(vocabulary)
+        encoder = word_encoder(vocabulary)
         for batch in batches:
-            rows, held = [], 0
-            for doc, value in zip(batch.column(0).to_pylist(), binary(batch.column(1))):
-                data = ids.text(value) + b"\0\0\0\0"
-                for number, at in enumerate(range(0, len(data), step)):
-                    cut = data[at:at + step]
-                    rows.append((doc, number, at // 4, len(cut) // 4, cut))
-                    held += len(cut)
-                    if held >= BATCH_BYTES:
-                        yield batch_of(rows)
-                        rows, held = [], 0
-            yield batch_of(rows)
-        # Workers live on after the task: their memory is not to be kept.
-        ids.clear()
-        ids.known.clear()
+            names = batch.column(0).to_pylist()
+            for first, ids, ends in encoder.batch(batch.column(1)):
+                # Every document ends with id 0.
+                data = memoryview(np.insert(ids, ends[1:], 0).astype("<u4").tobytes())
+                rows, held = [], 0
+                begins = (ends + np.arange(len(ends))).tolist()
+                for doc, low, high in zip(names[first:], begins[:-1], begins[1:]):
+                    for number, at in enumerate(range(low, high, length)):
+                        stop = min(at + length, high)
+                        rows.append((doc, number, at - low, stop - at, data[4 * at:4 * stop]))
+                        held += stop - at
+                        if 4 * held >= BATCH_BYTES:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+                yield batch_of(rows)
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"),
                        F.col(text_column).alias("text")).mapInArrow(run, PIECES)
@@ -207,20 +145,24 @@ def pack(found: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECE
             data = data.append_column(name, pa.array(values, pa.int64()))
         return data.select([f.split()[0] for f in PACKED.split(", ")])
 
-    for round_number in range(MAX_ROUNDS):
-        last = shards == 1 or round_number == MAX_ROUNDS - 1
+    round_number = 0
+    while True:
         dealt = left.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(round_number)), F.lit(shards)))
         packed = dealt.groupBy("shard").applyInArrow(run, PACKED)
-        packed = packed if last else stage(packed, "packed")
+        fewer = 1
+        if shards > 1:
+            packed = stage(packed, "packed")
+            left = packed.filter(F.col("gap") > GOOD_GAP).select("row", "length")
+            fewer = max(1, -(-left.count() // shard_pieces))
+        last = fewer >= shards
         good = packed if last else packed.filter(F.col("gap") <= GOOD_GAP)
         places.append(good.select(
-            "row", (F.col("bin") + F.col("shard") * (1 << 31) + F.lit(round_number << 60)).alias("sequence_id"),
+            "row", (F.col("bin") + F.col("shard") * (1 << 31) + F.lit(round_number << 58)).alias("sequence_id"),
             "offset"))
         if last:
             break
-        left = packed.filter(F.col("gap") > GOOD_GAP).select("row", "length")
-        n = left.count()
-        shards = max(1, -(-n // shard_pieces))
+        shards = fewer
+        round_number += 1
     found_places = reduce(DataFrame.unionByName, places)
     parts = found.filter(F.col("length") < length).join(found_places, "row").select(whole.columns)
     return whole.unionByName(parts).withColumn("ids_crc32", F.crc32("ids"))
