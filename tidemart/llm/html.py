@@ -8,9 +8,16 @@ node that is kept or dropped has all of its descendants kept or dropped; only a
 node that is neither leaves the choice to its children.
 
 Pages have no labels. The trees learn from a bounded sample of pages
-(``SAMPLE_PAGES``): what their tags and attribute tokens say plainly is the
-label; then widgets are put in and the plain signs are hidden at random, so that
-the trees also learn text, links, position and siblings.
+(``SAMPLE_PAGES``) of any length, and of each from a bounded number of nodes
+(``SAMPLE_NODES``): what their tags and attribute tokens say plainly is the
+label; then widgets are put in, in one copy the plain signs are hidden at random
+and in another the attribute tokens always, so that the trees also learn text, links, position
+and siblings.
+
+An element in a line of text is a node only if its attributes mark it; the text
+around it stays one block. Handling: null or empty html has no text; rows that repeat are
+pages of their own with equal results; only the named columns are read, so others may
+have any name; the trees of pages are scored together, a bounded number of nodes at a time.
 """
 
 from __future__ import annotations
@@ -31,7 +38,8 @@ from tidemart.llm.boosting import Boosted, fit
 from tidemart.llm.common import table
 
 SAMPLE_PAGES = 600
-SAMPLE_CHARS = 100_000
+SAMPLE_NODES = 400
+GROUP_NODES = 20_000
 SURE = 0.9
 
 # HTML elements by what they do, and words that name parts of pages.
@@ -61,7 +69,12 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Tree:
-    """Nodes in page order: tag, parent, own marks; a run of text is a node with tag ``#``."""
+    """Nodes in page order: tag, parent, own marks; a run of text is a node with tag ``#``.
+
+    ``block`` numbers the blocks of text; runs of one block are apart only by an
+    element within the line. ``edges`` tells whether white space stands before a run as
+    text of its own, leads it and follows it.
+    """
 
     def __init__(self) -> None:
         self.tag: list[str] = ["html"]
@@ -71,31 +84,76 @@ class Tree:
         self.text: list[str] = [""]
         self.linked: list[int] = [0]
         self.links: list[int] = [0]
+        self.block: list[int] = [0]
+        self.edges: list[tuple[bool, bool, bool]] = [(False, False, False)]
 
-    def add(self, tag: str, parent: int, bad: int = 0, good: int = 0, text: str = "", linked: int = 0, links: int = 0) -> int:
-        for column, value in ((self.tag, tag), (self.parent, parent), (self.bad, bad), (self.good, good),
-                              (self.text, text), (self.linked, linked), (self.links, links)):
+    def add(self, tag: str, parent: int, bad: int = 0, good: int = 0, text: str = "", linked: int = 0, links: int = 0,
+            block: int = 0, edges: tuple[bool, bool, bool] = (False, False, False)) -> int:
+        for column, value in ((self.tag, tag), (self.parent, parent), (self.bad, bad), (self.good, good), (self.text, text),
+                              (self.linked, linked), (self.links, links), (self.block, block), (self.edges, edges)):
             column.append(value)
         return len(self.tag) - 1
 
 
+def marks(attributes: str) -> tuple[bool, bool]:
+    """Whether attributes name something that is not main text or hide it, and whether they name main text."""
+    words = {w for m in NAMES.finditer(attributes) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
+    return not words.isdisjoint(BAD_WORDS) or HIDDEN.search(attributes) is not None, not words.isdisjoint(GOOD_WORDS)
+
+
+class Open:
+    """The open elements: names, their nodes, and where each name stands, so that no tag looks through all of them."""
+
+    def __init__(self) -> None:
+        self.names, self.nodes = ["html"], [0]
+        self.places: dict[str, list[int]] = {"html": [0]}
+        self.within: list[int] = [0]  # open elements of the same name that are no nodes, within one in a line
+
+    def push(self, name: str, node: int) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.nodes.append(node)
+        self.within.append(0)
+
+    def last(self, *names: str) -> int:
+        """The innermost place of some names; -1 if none is open."""
+        return max((self.places[x][-1] for x in names if self.places.get(x)), default=-1)
+
+    def first(self, names) -> int:
+        return min((self.places[x][0] for x in names if self.places.get(x)), default=-1)
+
+    def close(self, place: int) -> None:
+        """Close everything from a place on; the page itself stays open."""
+        while len(self.names) > max(1, place):
+            self.places[self.names.pop()].pop()
+            self.nodes.pop()
+            self.within.pop()
+
+
 def parse(page: str) -> Tree:
-    tree = Tree()
-    stack, names = [0], ["html"]
+    tree, opened = Tree(), Open()
     pieces: list[str] = []
-    linked = links = 0
-    in_link = False
+    linked = links = block = 0
+    in_link = space = False
     at, end = 0, len(page)
-    closes: dict[str, int] = {}  # the next end tag of a part, found once
+    closes: dict[str, int] = {}  # the next end tag of a name, looked for once
 
-    def flush() -> None:
-        nonlocal linked, links
+    def flush(in_line: bool = False) -> None:
+        nonlocal linked, links, block, space
         if pieces:
-            text = " ".join("".join(pieces).split())
+            raw = "".join(pieces)
+            text = " ".join(raw.split())
             if text:
-                tree.add("#", stack[-1], text=text, linked=min(linked, len(text)), links=links)
+                tree.add("#", opened.nodes[-1], text=text, linked=min(linked, len(text)), links=links, block=block,
+                         edges=(space, raw[0].isspace(), raw[-1].isspace()))
+                space = False
+            elif raw:
+                space = True
             pieces.clear()
         linked = links = 0
+        if not in_line:
+            block += 1
+            space = False
 
     def say(raw: str) -> None:
         nonlocal linked
@@ -104,6 +162,13 @@ def parse(page: str) -> Tree:
         if in_link:
             linked += len(text.strip())
 
+    def end_tag(name: str) -> int:
+        """Where the next end tag of a name begins; the end of the page if there is none."""
+        if closes.get(name, -1) < at:
+            found = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(page, at)
+            closes[name] = end if found is None else found.start()
+        return closes[name]
+
     while at < end:
         found = TOKEN.search(page, at)
         if found is None:
@@ -120,65 +185,62 @@ def parse(page: str) -> Tree:
         if closing:
             if name == "a":
                 in_link = False
-            elif name in BLOCKS and name in names:
-                flush()
-                while names[-1] != name and len(names) > 1:
-                    names.pop(), stack.pop()
-                if len(names) > 1:
-                    names.pop(), stack.pop()
-            elif name in BLOCKS:
+            place = opened.last(name)
+            if name in BLOCKS:
                 flush()
+                if place >= 0:
+                    opened.close(place)
+            elif place >= 0:
+                if opened.within[place]:
+                    opened.within[place] -= 1
+                elif opened.last(*BLOCKS) < place:
+                    flush(in_line=True)
+                    opened.close(place)
             continue
         attributes = found[3] or found[6] or ""
         if name in RAW:
             if not attributes.rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(page, at)
                 # A head may lack its end: then it ends where the body begins.
-                if close is None and name == "head":
+                if name == "head" and end_tag(name) == end:
                     continue
-                at = end if close is None else close.start()
+                at = end_tag(name)
             continue
         if name in ("html", "body"):
             flush()
             continue
         if name == "br" or name == "img" or name == "wbr":
             pieces.append(" " if name != "wbr" else "")
-        elif name == "a":
-            in_link = True
-            links += 1
-        elif name in BLOCKS:
-            if name in PARTS:
-                if closes.get(name, -1) < at:
-                    close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at)
-                    closes[name] = end if close is None else close.start()
-                if closes[name] == end or attributes.rstrip().endswith("/"):
-                    continue
-            flush()
-            if name == "hr":
+            continue
+        if name not in BLOCKS:
+            if name == "a":
+                in_link = True
+                links += 1
+            if name in VOID or attributes.rstrip().endswith("/"):
                 continue
-            if name != "option" and not CHOICES.isdisjoint(names):
-                k = next(k for k, x in enumerate(names) if x in CHOICES)
-                del names[k:], stack[k:]
-            if name in CLOSED_BY:
-                same, wall = CLOSED_BY[name]
-                for k in range(len(names) - 1, 0, -1):
-                    if names[k] in same.split():
-                        del names[k:], stack[k:]
-                        break
-                    if names[k] in wall:
-                        break
-            elif "p" in names and name not in ("button", "label", "option") and name not in PARTS:
-                k = len(names) - 1 - names[::-1].index("p")
-                del names[k:], stack[k:]
-            bad, good = name in BAD_TAGS, name in GOOD_TAGS
-            if attributes:
-                words = {w for m in NAMES.finditer(attributes) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
-                bad |= not words.isdisjoint(BAD_WORDS) or HIDDEN.search(attributes) is not None
-                good |= not words.isdisjoint(GOOD_WORDS)
-            stack.append(tree.add(name, stack[-1], int(bad), int(good)))
-            names.append(name)
-        elif attributes and name not in VOID and HIDDEN.search(attributes):
-            pass
+            if attributes and marks(attributes)[0]:
+                kept = links
+                flush(in_line=True)
+                opened.push(name, tree.add(name, opened.nodes[-1], 1))
+                links = kept if name == "a" else 0
+            elif (place := opened.last(name)) >= 0:
+                opened.within[place] += 1
+            continue
+        if name in PARTS and (end_tag(name) == end or attributes.rstrip().endswith("/")):
+            continue
+        flush()
+        if name == "hr":
+            continue
+        if name != "option" and (place := opened.first(CHOICES)) >= 0:
+            opened.close(place)
+        if name in CLOSED_BY:
+            same, wall = CLOSED_BY[name]
+            place = opened.last(*same.split())
+            if place > opened.last(*wall):
+                opened.close(place)
+        elif name not in ("button", "label", "option") and name not in PARTS and (place := opened.last("p")) >= 0:
+            opened.close(place)
+        bad, good = marks(attributes) if attributes else (False, False)
+        opened.push(name, tree.add(name, opened.nodes[-1], int(bad or name in BAD_TAGS), int(good or name in GOOD_TAGS)))
     flush()
     return tree
 
@@ -314,24 +376,29 @@ def with_widgets(page: str, dice: random.Random) -> str:
 
 
 def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: sampled pages to features and labels of their nodes."""
+    """Task: sampled pages to features and labels of their nodes, at most ``SAMPLE_NODES`` of a version of a page."""
     for batch in batches:
-        rows, labels = [], []
+        rows, labels = [np.zeros((0, WIDTH))], [np.zeros(0, np.int32)]
         for page in batch.column(0).to_pylist():
             dice = random.Random(crc32(page.encode("utf-8", "replace")))
-            for version in (page, with_widgets(page, dice), with_widgets(page, dice)):
+            some = lambda: dice.random() < 0.4
+            for version, hidden in ((page, (False, False, False)), (with_widgets(page, dice), (some(), some(), some())),
+                                    (with_widgets(page, dice), (some(), some(), True))):
                 tree = parse(version)
                 truth = plain_labels(tree)
                 use = [i for i, label in enumerate(truth) if label is not None]
-                x = features(tree, *(dice.random() < 0.4 for _ in range(3)) if version is not page else (False, False, False))
-                rows.extend(x[use].tolist())
-                labels.extend(truth[i] for i in use)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32())], ["x", "label"])
+                if len(use) > SAMPLE_NODES:
+                    use = sorted(dice.sample(use, SAMPLE_NODES))
+                rows.append(features(tree, *hidden)[use])
+                labels.append(np.array([truth[i] for i in use], np.int32))
+        x = np.concatenate(rows)
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), WIDTH).cast(pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([lists, pa.array(np.concatenate(labels))], ["x", "label"])
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, html_column: str = "html") -> Boosted | None:
     """None if the sample has no nodes of both kinds. Pages that repeat are sampled once."""
-    few = pages.select(F.col(html_column).alias("html")).filter(F.length("html").between(1, SAMPLE_CHARS)).withColumn(
+    few = pages.select(F.col(html_column).alias("html")).filter(F.length("html") > 0).withColumn(
         "order", F.xxhash64("html"))
     # One row for each hash: then the sample is the rows with the smallest ones.
     share = min(1.0, 4 * sample_pages / max(1, pages.count()))
@@ -368,33 +435,50 @@ def decode(tree: Tree, chance: np.ndarray) -> str:
             keep[p] += keep[i]
             drop[p] += drop[i]
             mixed[p] += value
-    out = []
+    out: list[str] = []
+    last, open_end = -1, False
     for i in range(n):
         if i and state[tree.parent[i]]:
             state[i] = state[tree.parent[i]]
-        if tree.tag[i] == "#" and state[i] == 1:
+        if tree.tag[i] != "#":
+            continue
+        before, leads, follows = tree.edges[i]
+        if tree.block[i] == last:
+            # A run that is left out takes its own white space with it, not what stands before it.
+            if state[i] == 1:
+                out[-1] += (" " if before or leads or open_end else "") + tree.text[i]
+                open_end = follows
+            else:
+                open_end = open_end or before
+        elif state[i] == 1:
             out.append(tree.text[i])
+            last, open_end = tree.block[i], follows
     return "\n".join(out)
 
 
 def main_text(pages: DataFrame, model: Boosted | None, html_column: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the main text. Null or empty html: empty text. Without a model the plain labels decide."""
 
+    def texts_of(trees: list[Tree]) -> list[str]:
+        if model is None:
+            return [decode(tree, np.array([0.5 if label is None else 0.999 * label + 0.0005 for label in plain_labels(tree)]))
+                    for tree in trees]
+        found = [features(tree) for tree in trees]
+        chances = np.split(model.chance(np.concatenate(found)), np.cumsum([len(x) for x in found])[:-1])
+        return [decode(tree, chance) for tree, chance in zip(trees, chances)]
+
     @F.arrow_udf(StringType())
     def extract(column: pa.Array) -> pa.Array:
-        texts = []
+        texts: list[str] = []
+        waiting: list[Tree] = []
+        nodes = 0
         for value in column:
-            page = value.as_py()
-            if not page:
-                texts.append("")
-                continue
-            tree = parse(page)
-            if model is None:
-                chance = np.array([0.5 if label is None else 0.999 * label + 0.0005 for label in plain_labels(tree)])
-            else:
-                chance = model.chance(features(tree))
-            texts.append(decode(tree, chance))
-        return pa.array(texts, pa.string())
+            waiting.append(parse(value.as_py() or ""))
+            nodes += len(waiting[-1].tag)
+            if nodes >= GROUP_NODES:
+                texts += texts_of(waiting)
+                waiting, nodes = [], 0
+        return pa.array(texts + (texts_of(waiting) if waiting else []), pa.string())
 
     return pages.withColumn(out, extract(F.col(html_column)))
 
