@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GROUP_BYTES = 1 << 23
+GROUP_BYTES = 1 << 22
 
 # How byte-level vocabularies write the 256 bytes as characters.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -47,7 +47,10 @@ def gather(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.
     begin = starts[which]
     sizes = starts[which + 1] - begin
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    return flat[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])], ends
+    kind = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
+    at = np.repeat((begin - ends[:-1]).astype(kind), sizes)
+    at += np.arange(ends[-1], dtype=kind)
+    return flat[at], ends
 
 
 @lru_cache(maxsize=2)
@@ -158,3 +161,4 @@ class WordEncoder:
         for end in group_ends(texts, limit):
             yield begin, *self.group(texts.slice(begin, end - begin))
             begin = end
+            pa.default_memory_pool().release_unused()
