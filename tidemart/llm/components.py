@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import drop_staged, stage
@@ -23,8 +23,11 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def mark(edges: DataFrame):
-    return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+def staged_with_sums(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a written table, with their number and a sum of their hashes, taken while they are written."""
+    sums = Observation()
+    kept = stage(edges.observe(sums, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("hash")), "edges")
+    return kept, sums.get
 
 
 def components(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -32,17 +35,16 @@ def components(pairs: DataFrame, left: str, right: str) -> DataFrame:
 
     A hub is one row per neighbour; its minimum is taken before the shuffle and
     the join that hands it out is one that adaptive execution splits. Each
-    round is a written table, so a lost executor costs one round at most.
-    Nulls and links from a node to itself are left out.
+    round is one written table, so a lost executor costs one round at most; no links, no
+    rounds. Nulls and links from a node to itself are left out.
     """
     a, b = F.col(left), F.col(right)
-    edges = stage(pairs.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    before = mark(edges)
-    while True:
-        after_edges = stage(small_star(large_star(edges)), "edges")
-        after = mark(after_edges)
+    edges, before = staged_with_sums(
+        pairs.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    while before["n"]:
+        moved, after = staged_with_sums(small_star(large_star(edges)))
         drop_staged(edges)
-        edges = after_edges
+        edges = moved
         if after == before:
             break
         before = after

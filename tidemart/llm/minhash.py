@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from tidemart.llm.common import drop_staged, stage, table, word_lists
+from tidemart.llm.common import drop_staged, stage, stage_counted, table, word_lists
 from tidemart.llm.components import components
 
 WORDS = 5
@@ -75,7 +75,7 @@ def minima(found: np.ndarray) -> np.ndarray:
     return out
 
 
-SETS = ("doc_id long, n_shingles long, key1 long, key2 long, bands array<long>, "
+SETS = ("doc_id long, row long, n_shingles long, key1 long, key2 long, bands array<long>, "
         "s0 long, s1 long, s2 long, s3 long, packed binary")
 NAMES = [part.split()[0] for part in SETS.split(", ")]
 
@@ -93,7 +93,7 @@ def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = np.zeros((n, BANDS), np.uint64)
         bits = np.zeros((n, 4), np.uint64)
         packed = []
-        for i, words in enumerate(word_lists(batch.column(1))):
+        for i, words in enumerate(word_lists(batch.column(2))):
             found = shingles(words)
             packed.append(squeeze.compress(b" ".join(words)))
             if not len(found):
@@ -112,7 +112,7 @@ def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band_lists = pa.ListArray.from_arrays(
             pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), signed(bands.reshape(-1)))
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(sizes), signed(keys[:, 0].copy()), signed(keys[:, 1].copy()), band_lists,
+            [ids, batch.column(1), pa.array(sizes), signed(keys[:, 0].copy()), signed(keys[:, 1].copy()), band_lists,
              *[signed(bits[:, k].copy()) for k in range(4)], pa.array(packed, pa.binary())], NAMES)
 
 
@@ -152,21 +152,36 @@ def differing(x: str, y: str):
     return differ[0] + differ[1] + differ[2] + differ[3]
 
 
-def links(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between class representatives: enough to connect every component."""
+def by_centre(links_to_centres: DataFrame, jumps: int = 2) -> DataFrame:
+    """(node, label): where the links lead in up to 2^jumps steps; every row has one centre, and no cycle."""
+    found = links_to_centres.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    for _ in range(jumps):
+        ahead = found.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        found = found.join(ahead, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    return found
+
+
+def class_labels(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, label) of the class representatives that are linked with another: the component's smallest one.
+
+    What links to centres connect is worked out once, after all rounds with
+    centres; between them a row only needs to know which centre it leads to. The links
+    found after that are few and are put between components, not rows.
+    """
     signs = ["s0", "s1", "s2", "s3"]
+    nothing = classes.select(F.col("rep").alias("node"), F.col("rep").alias("label")).limit(0)
     reps = sets.join(classes.select("rep"), F.col("row") == F.col("rep"), "left_semi")
-    buckets = reps.select(F.col("row").alias("rep"), F.posexplode("bands").alias("band", "key"), *signs)
-    buckets = buckets.select("key", "rep")
+    buckets = reps.select(F.col("row").alias("rep"), F.explode("bands").alias("key"))
     many = buckets.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    members = stage(buckets.join(many, "key"), "buckets")
+    members, n = stage_counted(buckets.join(many, "key"), "buckets")
+    if not n:
+        return nothing
     # How many others a class meets in its buckets: the original of a group of copies meets most.
     near = members.groupBy("rep").agg(F.sum("members").alias("met"))
     texts = stage(sets.select(F.col("row").alias("rep"), *signs, "packed").join(near, "rep"), "texts")
     marks = texts.select("rep", *signs)
     popular = texts.select("rep", "met")
-    labels = None
-    found = None
+    labels = found = None
     for number in range(CENTRE_ROUNDS):
         open_rows = (members if labels is None else across(members, labels)).join(popular, "rep")
         # First the class that meets most others, then others at random.
@@ -181,10 +196,28 @@ def links(sets: DataFrame, classes: DataFrame) -> DataFrame:
         nearest = passed.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
         new = stage(confirmed(nearest, texts), "links")
         found = new if found is None else found.unionByName(new)
-        labels = stage(components(found, "a", "b"), "labels")
-    left_over = across(members, labels).select("rep", "label").distinct()
-    rest = stage(sharing_rare(left_over.join(texts, "rep")), "rest")
-    return found.unionByName(stage(confirmed(rest, texts), "links"))
+        if number == 0:
+            # The first centre is the one highest in one order, so its links have no cycle.
+            labels = stage(by_centre(new), "centres")
+    labels = stage(components(found, "a", "b"), "labels")
+    left_over, n = stage_counted(across(members, labels).select("rep", "label").distinct().join(texts, "rep"), "left-over")
+    if n:
+        rest = stage(sharing_rare(left_over), "rest")
+        late = confirmed(rest, texts)
+        for end in ("a", "b"):
+            late = late.join(left_over.select(F.col("rep").alias(end), F.col("label").alias(f"of_{end}")), end)
+        joined = stage(components(late, "of_a", "of_b").select(
+            F.col("node").alias("label"), F.col("label").alias("whole")), "joined")
+        # A class alone in its component has no label yet, but may have a late link.
+        alone = joined.select(F.col("label").alias("node"), "label")
+        late_labels = stage(labels.unionByName(alone).distinct().join(joined, "label", "left").select(
+            "node", F.coalesce("whole", "label").alias("label")), "labels")
+        for done in (labels, rest, joined):
+            drop_staged(done)
+        labels = late_labels
+    for done in (members, texts, left_over):
+        drop_staged(done)
+    return labels
 
 
 PREFIXES = "rep long, label long, size long, tail long, s0 long, s1 long, s2 long, s3 long, shingle long"
@@ -279,48 +312,51 @@ def across(members: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(mixed_keys, "key", "left_semi")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and ``first`` (one row of each component).
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    row_column: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, ``row`` and ``first`` (one row of each component).
 
     A document without words has an empty set, is linked with nothing and kept.
     ``component_id`` is the smallest doc_id of the component; null if all are
     null. Rows that repeat a doc_id are documents of their own; with equal text
-    they are in one component and both ``kept``, but one is ``first``.
+    they are in one component and both ``kept``, but one is ``first``: that with the
+    smallest doc_id, nulls last. ``row_column`` tells rows apart; without it they are numbered.
     """
-    sets = stage(docs.select(F.col(id_column).cast("long").alias("doc_id"),
-                             F.col(text_column).alias("text")).mapInArrow(sets_of, SETS).withColumn(
-        "row", F.monotonically_increasing_id()), "sets")
+    row = F.col(row_column).cast("long") if row_column else F.monotonically_increasing_id()
+    sets = stage(docs.select(F.col(id_column).cast("long").alias("doc_id"), row.alias("row"),
+                             F.col(text_column).alias("text")).mapInArrow(sets_of, SETS), "sets")
     full = sets.filter("n_shingles > 0")
     classes = stage(full.groupBy("key1", "key2").agg(
         F.min("row").alias("rep"), F.min("doc_id").alias("least_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first_row")), "classes")
-    labels = stage(components(links(sets, classes), "a", "b"), "labels")
+    labels = class_labels(sets, classes)
     grouped = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep"))
     whole = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"),
                                          F.min("first_row").alias("first_row"))
     known = stage(grouped.select("key1", "key2", "label").join(whole, "label").select(
         "key1", "key2", "component_id", F.col("first_row.row").alias("first")), "known")
+    drop_staged(classes)
     named = full.select("row", "doc_id", "n_shingles", "key1", "key2").join(known, ["key1", "key2"])
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull())
-    out = named.select("doc_id", "n_shingles", "component_id", kept.alias("kept"),
+    out = named.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row",
                        (F.col("row") == F.col("first")).alias("first"))
     empty = sets.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(True).alias("first"))
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "row",
+        F.lit(True).alias("first"))
     return out.unionByName(empty)
 
 
 def op6_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents")).drop("first")
+    return near_duplicates(table(spark, folder, "documents")).drop("row", "first")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, one of each component, all columns kept.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat
-    it, one. Only ids and flags are joined back, so rows must be told apart:
-    ids that occur once need no more, others are told apart by their text too.
+    it, one. Rows are numbered in a staged table, so only numbers and flags are joined back.
     """
     rows = stage(docs.withColumn("#row", F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows, id_column="#row").filter("first").select(F.col("doc_id").alias("#kept"))
+    found = near_duplicates(rows, row_column="#row").filter("first").select(F.col("row").alias("#kept"))
     return rows.join(found, F.col("#row") == F.col("#kept"), "left_semi").drop("#row")
