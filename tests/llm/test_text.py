@@ -9,9 +9,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tables import marked_docs, marks, no_docs, odd_docs  # noqa: F401
 
-from tidemart.llm import hmm, minhash, mixing, packing, quality, toxicity
+from tidemart.llm import hmm, minhash, mixing, packing, quality, samples, toxicity
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
@@ -112,6 +113,41 @@ def test_near_duplicates_of_odd_rows(odd_docs):
     assert minhash.near_duplicates(odd_docs.limit(0)).count() == 0
 
 
+def test_the_smallest_id_of_a_group_stays(spark):
+    """Whatever the order of the rows and their partitions; nulls come last."""
+    text = "one two three four five six seven"
+    docs = [(9, text), (5, text), (None, text), (7, text + " eight nine"), (2, "other words stand in here now"),
+            (None, "words of rows without any number here"), (None, "words of rows without any number here")]
+    for order in (docs, docs[::-1], docs[3:] + docs[:3]):
+        for parts in (1, 3) if order is docs else (2,):
+            left = minhash.keep_first(spark.createDataFrame(order, "doc_id long, text string").repartition(parts))
+            assert sorted(str(r.doc_id) for r in left.collect()) == ["2", "5", "7", "None"]
+
+
+def test_small_inputs_need_few_jobs(spark):
+    group = f"jobs-{id(spark)}"
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g")], "doc_id long, text string")
+    spark.sparkContext.setJobGroup(group, "two rows")
+    try:
+        assert minhash.keep_first(docs).count() == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 25
+
+
+def test_samples_are_bounded_by_rows(spark):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.range(0, 4_000_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    assert samples.labelled(docs, labels, "toxic", 20_000).count() == 1000
+    twice = spark.range(200_000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    found = samples.labelled(twice, labels, "toxic", 100)
+    assert 50 < found.count() < 160
+    assert found.select("doc_id", "text").exceptAll(twice).count() == 0
+    copies = twice.withColumn("text", F.lit("same"))
+    assert samples.labelled(copies, labels, "toxic", 100).count() == 2
+    assert samples.labelled(docs.limit(0), labels, "toxic").count() == 0
+
+
 def check_packing(found, docs, length):
     from tokenizers import Tokenizer
 
@@ -219,7 +255,8 @@ def test_ordinal_slope():
     from tidemart.llm.common import SparseRows
 
     random = np.random.default_rng(4)
-    matrix = SparseRows([np.flatnonzero(random.random(6) < 0.5) for _ in range(400)], 6)
+    found = [np.flatnonzero(random.random(6) < 0.5) for _ in range(400)]
+    matrix = SparseRows(np.concatenate(found), np.cumsum([0, *map(len, found)]), 6)
     truth = matrix.times(np.array([2.0, -2, 0, 0, 1, 0])) + random.logistic(size=400)
     grades = np.digitize(truth, [0, 1, 2])
     weights, thresholds = toxicity.fit_ordinal(matrix, grades, ridge=0.1)

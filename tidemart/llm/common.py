@@ -8,10 +8,11 @@ called, never clash with the ones made inside.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.session import fresh_path, restage
+from tidemart.llm.encoding import gather
+from tidemart.session import delete_folder, fresh_path, restage
 
 # A word is a run of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,14 +33,17 @@ def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     return restage(df, fresh_path(spark, label), spark, **options)
 
 
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """A staged table and its number of rows, counted while it is written."""
+    seen = Observation()
+    kept = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return kept, seen.get["n"]
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(df.sparkSession, folder)
 
 
 def word_lists(texts):
@@ -112,13 +116,25 @@ def minimize(value_and_slope, start: np.ndarray, steps: int = 100, memory: int =
 
 
 class SparseRows:
-    """Rows of feature numbers, each feature with value 1."""
+    """Rows of feature numbers, each feature with value 1: numbers end to end, and where each row ends (from 0)."""
+
+    def __init__(self, column: np.ndarray, ends: np.ndarray, width: int) -> None:
+        self.column, self.ends, self.width, self.n = column, ends, width, len(ends) - 1
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(ends))
+
+    @classmethod
+    def of(cls, lists, width: int) -> SparseRows:
+        """Of an Arrow list column, without a Python object for any row."""
+        lists = lists.combine_chunks()
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        return cls(lists.flatten().to_numpy(), ends - ends[0], width)
+
+    def take(self, which: np.ndarray) -> SparseRows:
+        return SparseRows(*gather(self.column, self.ends, np.asarray(which, np.int64)), self.width)
 
-    def __init__(self, rows: list[np.ndarray], width: int) -> None:
-        self.n, self.width = len(rows), width
-        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        self.row = np.repeat(np.arange(self.n), sizes)
-        self.column = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
+    def __add__(self, other: SparseRows) -> SparseRows:
+        return SparseRows(np.concatenate([self.column, other.column]),
+                          np.concatenate([self.ends, self.ends[-1] + other.ends[1:]]), self.width)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.column], self.n)

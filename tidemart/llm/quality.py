@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidemart.llm.common import SparseRows, binary, minimize, sigmoid, stage, table
-from tidemart.llm.samples import BARE, RESOLUTION, SAMPLE_ROWS, labelled, present, telling_words
+from tidemart.llm.samples import (
+    BARE, SAMPLE_ROWS, by_hash, labelled, once_each, present, telling_words, with_order,
+)
 
 FEATURES = 2048
 RIDGE = 1.0
@@ -75,15 +77,25 @@ class Encoder:
     def meta_width(self) -> int:
         return 1 + META_NUMBERS * BINS + SOURCE_SLOTS + LANG_SLOTS + 2
 
-    def text_row(self, words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        bins = (numbers[:, None] > self.text_cuts).sum(axis=1)
-        return np.r_[0, 1 + words, 1 + len(self.vocabulary) + np.arange(TEXT_NUMBERS) * BINS + bins]
-
-    def meta_row(self, numbers: np.ndarray, source: str | None, lang: str | None) -> np.ndarray:
-        bins = (numbers[:, None] > self.meta_cuts).sum(axis=1)
+    def text_rows(self, words: SparseRows, numbers: np.ndarray) -> SparseRows:
+        """A constant, the words and the bins of the numbers of each document."""
+        n, more = words.n, 1 + TEXT_NUMBERS
+        ends = words.ends + more * np.arange(n + 1)
+        column = np.zeros(ends[-1], np.int32)
+        column[np.arange(len(words.column)) + more * words.row.astype(np.int64) + 1] = 1 + words.column
+        bins = (numbers[:, :, None] > self.text_cuts).sum(axis=2)
+        at = np.arange(TEXT_NUMBERS)
+        column[ends[1:, None] - TEXT_NUMBERS + at] = 1 + len(self.vocabulary) + at * BINS + bins
+        return SparseRows(column, ends, self.text_width)
+
+    def meta_rows(self, numbers: np.ndarray, sources: list[str | None], langs: list[str | None]) -> SparseRows:
+        bins = (numbers[:, :, None] > self.meta_cuts).sum(axis=2)
         base = 1 + META_NUMBERS * BINS
-        return np.r_[0, 1 + np.arange(META_NUMBERS) * BINS + bins, base + slot(source, SOURCE_SLOTS),
-                     base + SOURCE_SLOTS + 1 + slot(lang, LANG_SLOTS)]
+        column = np.zeros((len(sources), META_NUMBERS + 3), np.int32)
+        column[:, 1:-2] = 1 + np.arange(META_NUMBERS) * BINS + bins
+        column[:, -2] = [base + slot(x, SOURCE_SLOTS) for x in sources]
+        column[:, -1] = [base + SOURCE_SLOTS + 1 + slot(x, LANG_SLOTS) for x in langs]
+        return SparseRows(column.reshape(-1), column.shape[1] * np.arange(len(column) + 1), self.meta_width)
 
 
 @dataclass(frozen=True)
@@ -128,27 +140,27 @@ def calibration(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.0)), float(b)
 
 
-def co_train(text_rows: list, meta_rows: list, labels: np.ndarray, text_pool: list, meta_pool: list,
+def co_train(text: SparseRows, meta: SparseRows, labels: np.ndarray, text_pool: SparseRows, meta_pool: SparseRows,
              encoder: Encoder, rounds: int = ROUNDS) -> Views:
     """Fits both views; ``labels`` belong to the rows, the pool has none."""
     held = np.arange(len(labels)) % HELD_OUT == 0
-    views = [(text_rows, text_pool, encoder.text_width), (meta_rows, meta_pool, encoder.meta_width)]
+    learned, kept_out = np.flatnonzero(~held), np.flatnonzero(held)
+    views = [(text, text_pool), (meta, meta_pool)]
     given: list[dict[int, int]] = [{}, {}]  # pseudo-labels that a view received, by row of the pool
     for number in range(rounds + 1):
         weights = []
-        for (rows, pool, width), received in zip(views, given):
-            own = [r for r, h in zip(rows, held) if not h] + [pool[k] for k in received]
-            weights.append(fit_logistic(SparseRows(own, width), np.r_[labels[~held], list(received.values())]))
-        if number == rounds or not pool:
+        for (rows, pool), received in zip(views, given):
+            own = rows.take(learned) + pool.take(np.array(list(received), np.int64))
+            weights.append(fit_logistic(own, np.r_[labels[learned], list(received.values())]))
+        if number == rounds or not text_pool.n:
             break
-        most = max(1, int(TAKEN_PER_ROUND * len(pool)))
-        for k, (rows, pool, width) in enumerate(views):
-            chance = sigmoid(SparseRows(pool, width).times(weights[k]))
+        most = max(1, int(TAKEN_PER_ROUND * text_pool.n))
+        for k, (rows, pool) in enumerate(views):
+            chance = sigmoid(pool.times(weights[k]))
             for label, sure in ((1, chance), (0, 1 - chance)):
                 order = np.argsort(-sure, kind="stable")[:most]
                 given[1 - k].update({int(i): label for i in order if sure[i] >= SURE and int(i) not in given[1 - k]})
-    scores = [SparseRows([r for r, h in zip(rows, held) if h], width).times(w)
-              for (rows, _, width), w in zip(views, weights)]
+    scores = [rows.take(kept_out).times(w) for (rows, _), w in zip(views, weights)]
     truth = labels[held].astype(float)
     prior = float(np.log((truth.sum() + 0.5) / (len(truth) - truth.sum() + 0.5)))
     scales = [calibration(s, truth) for s in scores]
@@ -160,12 +172,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """None without labelled rows of both classes."""
     few = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
     marked = labelled(few, labels, "quality", sample_rows)
-    # As many other documents, labels unseen; rows with a null id can't be told apart and stay out.
-    n = docs.count()
-    pool = few.filter(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(RESOLUTION)) < int(
-        min(1.0, sample_rows / max(1, n)) * RESOLUTION)).join(
-        marked.select(F.col("doc_id").alias("#seen")).distinct(), F.col("doc_id") == F.col("#seen"), "left_anti")
-    rows = stage(marked.unionByName(pool.withColumn("#label", F.lit(None).cast("int"))), "quality")
+    # As many other documents, labels unseen, each of those that repeat id and text once.
+    seen = marked.select(F.col("doc_id").alias("#seen")).distinct()
+    pool = once_each(with_order(few).filter(by_hash(sample_rows / max(1, docs.count()))))
+    pool = pool.join(seen, F.col("doc_id") == F.col("#seen"), "left_anti").withColumn("#label", F.lit(None).cast("int"))
+    rows = stage(marked.unionByName(pool), "quality")
     vocabulary = telling_words(rows.filter(F.col("#label").isNotNull()), FEATURES)
     if not vocabulary:
         return None
@@ -181,25 +192,20 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.int32())), pa.array(text, pa.list_(pa.float64())),
                  pa.array(meta, pa.list_(pa.float64())), *batch.columns[2:]],
-                ["found", "text", "meta", "source", "lang", "label", "doc_id"])
+                ["found", "text", "meta", "source", "lang", "label", "order"])
 
-    sample = rows.select("text", "n_chars", "source", "lang", "#label", "doc_id").mapInArrow(
+    sample = rows.select("text", "n_chars", "source", "lang", "#label", "#order").mapInArrow(
         measured, "found array<int>, text array<double>, meta array<double>, source string, lang string, "
-                  "label int, doc_id long").toArrow().sort_by("doc_id")
-    found = [np.array(x, np.int64) for x in sample.column("found").to_pylist()]
-    text = np.array(sample.column("text").to_pylist())
-    meta = np.array(sample.column("meta").to_pylist())
+                  "label int, order long").toArrow().sort_by("order")
+    square = lambda name, n: sample.column(name).combine_chunks().flatten().to_numpy().reshape(-1, n)
+    text, meta = square("text", TEXT_NUMBERS), square("meta", META_NUMBERS)
     cuts = lambda x: np.quantile(x, np.arange(1, BINS) / BINS, axis=0).T
     encoder = Encoder(vocabulary, cuts(text), cuts(meta))
-    text_rows = [encoder.text_row(w, t) for w, t in zip(found, text)]
-    meta_rows = [encoder.meta_row(m, s, g) for m, s, g in zip(
-        meta, sample.column("source").to_pylist(), sample.column("lang").to_pylist())]
-    marks = sample.column("label").to_pylist()
-    own = [k for k, m in enumerate(marks) if m is not None]
-    rest = [k for k, m in enumerate(marks) if m is None]
-    pick = lambda x, which: [x[k] for k in which]
-    return co_train(pick(text_rows, own), pick(meta_rows, own), np.array(pick(marks, own), float),
-                    pick(text_rows, rest), pick(meta_rows, rest), encoder)
+    text_rows = encoder.text_rows(SparseRows.of(sample.column("found"), len(vocabulary)), text)
+    meta_rows = encoder.meta_rows(meta, sample.column("source").to_pylist(), sample.column("lang").to_pylist())
+    marks = sample.column("label").to_numpy().astype(float)
+    own, rest = np.flatnonzero(~np.isnan(marks)), np.flatnonzero(np.isnan(marks))
+    return co_train(text_rows.take(own), meta_rows.take(own), marks[own], text_rows.take(rest), meta_rows.take(rest), encoder)
 
 
 def with_quality(docs: DataFrame, model: Views | None, out: str = "#quality") -> DataFrame:
@@ -213,12 +219,18 @@ def with_quality(docs: DataFrame, model: Views | None, out: str = "#quality") ->
     @F.arrow_udf(DoubleType())
     def chance(texts: pa.Array, declared: pa.Array, sources: pa.Array, langs: pa.Array) -> pa.Array:
         one = model.encoder
-        text_scores, meta_scores = [], []
-        for value, n, source, lang in zip(binary(texts), declared.to_pylist(), sources.to_pylist(), langs.to_pylist()):
+        found, text, meta = [], [], []
+        for value, n in zip(binary(texts), declared.to_pylist()):
             words, a, b = measures(value, n)
-            text_scores.append(model.text_weights[one.text_row(present(words, one.vocabulary), np.array(a))].sum())
-            meta_scores.append(model.meta_weights[one.meta_row(np.array(b), source, lang)].sum())
-        return pa.array(model.combine(np.array(text_scores, float), np.array(meta_scores, float)))
+            found.append(present(words, one.vocabulary))
+            text.append(a)
+            meta.append(b)
+        ends = np.cumsum([0, *map(len, found)])
+        words = SparseRows(np.concatenate([np.zeros(0, np.int32), *found]), ends, len(one.vocabulary))
+        text_scores = one.text_rows(words, np.array(text).reshape(-1, TEXT_NUMBERS)).times(model.text_weights)
+        meta_scores = one.meta_rows(np.array(meta).reshape(-1, META_NUMBERS), sources.to_pylist(), langs.to_pylist()).times(
+            model.meta_weights)
+        return pa.array(model.combine(text_scores, meta_scores))
 
     return docs.withColumn(out, chance("text", F.col("n_chars").cast("long"), "source", "lang"))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import LOWER, UPPER, binary
+from tidemart.llm.common import LOWER, UPPER, binary, stage
 
 SAMPLE_ROWS = 20_000
 RESOLUTION = 1 << 30
@@ -35,23 +35,39 @@ def distinct_words(value: bytes | None) -> set[bytes]:
     return set(bare_words(value))
 
 
-def bounded(rows: DataFrame, key: str, bound: int) -> DataFrame:
-    """All rows if there are at most ``bound``; else about ``bound`` of them, by a hash of the key."""
-    share = min(1.0, bound / max(1, rows.count()))
-    return rows.filter(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(RESOLUTION)) < int(share * RESOLUTION))
+def by_hash(share: float, order: str = "#order"):
+    """The rows whose hash lies in a share of all hashes."""
+    return F.pmod(F.xxhash64(order, F.lit(17)), F.lit(RESOLUTION)) < int(min(1.0, share) * RESOLUTION)
+
+
+def with_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``#order``, a hash of id and text: the same for copies of a row, in any order of the rows."""
+    return docs.withColumn("#order", F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.coalesce("text", F.lit(""))))
+
+
+def once_each(rows: DataFrame) -> DataFrame:
+    """One row of those that repeat id and text, reduced in the tasks first."""
+    others = [c for c in rows.columns if c not in ("doc_id", "#order")]
+    return rows.groupBy("doc_id", "#order").agg(*[F.first(c).alias(c) for c in others])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, target: str, bound: int = SAMPLE_ROWS) -> DataFrame:
-    """Rows of ``docs`` with ``#label`` 0 or 1: of a bounded sample of the labelled ids.
+    """Labelled rows of ``docs`` with ``#label`` 0 or 1 and ``#order``: all, or about ``bound`` of them by a hash.
 
-    The sample's ids (about ``bound``) are broadcast, so the documents are read
-    without a shuffle. Rows with a null id or label are left out; an id with
-    two labels counts as 1.
+    The labels are first held against the ids of ``docs``, so labels of
+    other tables take no part in the bound. It counts distinct rows: copies with the same id and
+    text are one. Only ids and hashes are shuffled; the ids of the
+    sample are broadcast, about ``bound`` of them. Rows with a null id or label are left out; an id with two
+    labels counts as 1.
     """
     marks = labels.select(F.col("doc_id").alias("#id"), F.col(target).cast("int").alias("#label")).filter(
         F.col("#id").isNotNull() & F.col("#label").isNotNull()).groupBy("#id").agg(F.max("#label").alias("#label"))
-    few = bounded(marks, "#id", bound)
-    return docs.join(F.broadcast(few), F.col("doc_id") == F.col("#id")).drop("#id")
+    ordered = with_order(docs)
+    own = ordered.select(F.col("doc_id").alias("#id"), "#order").filter(F.col("#id").isNotNull()).distinct()
+    own = stage(own.join(marks, "#id"), "labelled")
+    few = own.filter(by_hash(bound / max(1, own.count()))).withColumnRenamed("#order", "#wanted")
+    found = ordered.join(F.broadcast(few), (F.col("doc_id") == F.col("#id")) & (F.col("#order") == F.col("#wanted")))
+    return once_each(found.drop("#id", "#wanted"))
 
 
 def word_counts(batches: Iterator[pa.RecordBatch], tokens=distinct_words) -> Iterator[pa.RecordBatch]:

@@ -99,7 +99,7 @@ def best_cut(chance: np.ndarray, toxic: np.ndarray) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES) -> OrdinalModel:
     """Without labelled rows of both classes the model holds nothing for toxic."""
-    rows = stage(labelled(docs.select("doc_id", "text"), labels, "toxic", sample_rows).select("text", "#label"), "toxic")
+    rows = stage(labelled(docs.select("doc_id", "text"), labels, "toxic", sample_rows).select("text", "#label", "#order"), "toxic")
     vocabulary = telling_words(rows, features, tokens=words_and_stems)
     if not vocabulary:
         return OrdinalModel({}, np.zeros(1), np.array([30.0, 31.0, 32.0]))
@@ -111,13 +111,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
                 found.append(present(words_and_stems(value), vocabulary))
                 sizes.append(len(bare_words(value)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.int32())), pa.array(sizes, pa.int64()), batch.column(1)],
-                ["found", "words", "label"])
+                [pa.array(found, pa.list_(pa.int32())), pa.array(sizes, pa.int64()), *batch.columns[1:]],
+                ["found", "words", "label", "order"])
 
-    sample = rows.mapInArrow(features_of, "found array<int>, words long, label int").toArrow().sort_by([("words", "ascending"), ("label", "ascending")])
-    found = [np.array(x, np.int32) for x in sample.column("found").to_pylist()]
+    sample = rows.mapInArrow(features_of, "found array<int>, words long, label int, order long").toArrow().sort_by("order")
     toxic = sample.column("label").to_numpy() > 0
-    matrix = SparseRows(found, len(vocabulary))
+    matrix = SparseRows.of(sample.column("found"), len(vocabulary))
     # Words that stand in toxic documents rather than in others.
     in_toxic = np.bincount(matrix.column, toxic[matrix.row].astype(float), len(vocabulary))
     in_other = np.bincount(matrix.column, (~toxic[matrix.row]).astype(float), len(vocabulary))
@@ -128,9 +127,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
     cuts = np.quantile(density[toxic], [1 / 3, 2 / 3])
     grades = np.where(toxic, 1 + (density > cuts[0]) + (density > cuts[1]), 0)
     held = np.arange(len(grades)) % HELD_OUT == 0
-    part = SparseRows([f for f, h in zip(found, held) if not h], len(vocabulary))
-    weights, thresholds = fit_ordinal(part, grades[~held])
-    scores = SparseRows([f for f, h in zip(found, held) if h], len(vocabulary)).times(weights)
+    weights, thresholds = fit_ordinal(matrix.take(np.flatnonzero(~held)), grades[~held])
+    scores = matrix.take(np.flatnonzero(held)).times(weights)
     cut = best_cut(np.clip(1 - sigmoid(thresholds[0] - scores), 1e-9, 1 - 1e-9), toxic[held])
     return OrdinalModel(vocabulary, *fit_ordinal(matrix, grades), cut)
 
