@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 21
 
 # How byte-level vocabularies write the 256 bytes as characters.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
