@@ -127,6 +127,15 @@ def test_growth_carries_the_last_value_forward(spark):
     assert got == [(0, 2.0), (10, 2.0), (20, 2.0), (30, 5.0), (40, 5.0), (50, 5.0)]
 
 
+@pytest.mark.parametrize("stale_s, want", [
+    (10, [(0, 2.0), (30, 5.0)]), (11, [(0, 2.0), (10, 2.0), (30, 5.0), (40, 5.0)]),
+    (20, [(0, 2.0), (10, 2.0), (30, 5.0), (40, 5.0)]), (500, [(s, 2.0 if s < 30 else 5.0) for s in range(0, 60, 10)])])
+def test_a_metric_that_stops_leaves_a_gap(spark, stale_s, want):
+    rows = [("g", {}, 5, 1.0), ("g", {}, 8, 2.0), ("g", {}, 31, 5.0)]
+    df = metrics.growth(samples(spark, *rows), ["g"], 10, "2024-01-01 00:00:00", "2024-01-01 00:00:55", stale_s)
+    assert [((r.ts - START).total_seconds(), r.value) for r in df.orderBy("ts").collect()] == want
+
+
 def test_current_gauges(spark):
     rows = [("lake_snapshot_age_seconds", {}, 0, 10.0), ("lake_snapshot_age_seconds", {}, 9, 400.0),
             ("lake_tables", {}, 0, 3.0), ("lake_data_files", {}, 0, 3.0)]

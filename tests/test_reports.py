@@ -53,6 +53,14 @@ def test_recent_orders_do_not_need_the_mart(hot):
     assert got.where("order_id >= 9000").count() == 0
 
 
+def test_recent_orders_read_each_table_once(spark, sf):
+    models = build_models(spark, sf)
+    got = reports.recent_orders_live(models["stg_orders"], models["stg_lineitem"], models["stg_customers"])
+    # The orders and customers have been read; the lines are read by key.
+    assert operators(got, "FileScan") == 1
+    assert "PushedFilters: [In(l_orderkey, [" in plan(got)
+
+
 def test_recent_orders_of_more_than_all_rows(hot):
     orders, lines, customers = hot
     n = 20_000

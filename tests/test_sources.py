@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from support import operators, plan, values
 
+from tidemart.operators.quality import ModelTests, dq_suite, null_counts
 from tidemart.operators.reports import raw_orders
 from tidemart.plans.models import build_models, run_daily
 from tidemart.schemas import FACT_DDL, SEED_CUSTOMERS, SEED_ORDERS
@@ -110,6 +111,31 @@ def test_daily_run_passes_its_tests_and_can_be_repeated(spark, sf, name, tmp_pat
     assert "_loaded_at" in spark.table("stg_orders").columns
 
 
+def test_a_load_that_stopped_is_done_again(spark, sf, name, tmp_path):
+    """Files of a table that was never registered, whole or half, are replaced."""
+    raw = f"{name}_raw"
+    tables.create_database(spark, raw, str(tmp_path))
+    whole = tables.scan_source(spark, sf, "customer")
+    whole.limit(7).write.parquet(f"{tmp_path}/{raw}/customer")
+    os.makedirs(f"{tmp_path}/{raw}/nation/_temporary/0")
+    report = tables.load_raw(spark, sf, raw, ("customer", "nation"), location=str(tmp_path))
+    assert values(report, "table", "rows", "skipped") == [("customer", 150, False), ("nation", 25, False)]
+    assert spark.table(f"{raw}.customer").count() == 150
+    again = tables.load_raw(spark, sf, raw, ("customer", "nation"), location=str(tmp_path))
+    assert values(again, "skipped") == [(True,), (True,)]
+
+
+def test_nulls_are_counted_while_a_mart_is_written(spark, name, tmp_path):
+    rows = spark.createDataFrame([(1, None), (None, None), (2, "x")], "order_id bigint, customer_id string")
+    tests = {"m": ModelTests(("order_id", "customer_id"), "order_id")}
+    saved, measured = tables.materialize(rows, f"{name}.m", str(tmp_path), measure=null_counts(tests["m"]))
+    assert measured == {"order_id": 1, "customer_id": 2}
+    suite = dq_suite({"m": saved}, tests, {"m": measured})
+    assert values(suite) == values(dq_suite({"m": saved}, tests))
+    # Only the key is read again.
+    assert "ReadSchema: struct<order_id:bigint>" in plan(suite)
+
+
 def test_jdbc_options():
     plain = jdbc_options("jdbc:postgresql://host/db", "dag_run", user="u")
     assert plain == {"url": "jdbc:postgresql://host/db", "dbtable": "dag_run",

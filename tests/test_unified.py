@@ -12,7 +12,7 @@ from support import given, operators, values
 from tidemart.operators import joins, unified
 from tidemart.operators.quality import dq_grain
 from tidemart.operators.staging import SOURCE_A, SOURCE_B, pack_extra, stg_platform
-from tidemart.schemas import FACT_DDL, ContractError, check_contract
+from tidemart.schemas import FACT_DDL, ContractError, check_contract, contract_report
 from tidemart.sources.facts import read_fact, write_fact
 
 NOW = dt.datetime(2024, 1, 31)
@@ -113,6 +113,20 @@ def test_contract_checks_order_and_types(spark):
         unified.union_all_sources(good, good.withColumn("revenue", F.lit(None).cast("double")))
 
 
+def test_contract_report_names_every_column(spark):
+    good = fact(spark, row(1, "x", "t", 1), row(2, None, "t", 1))
+    report = contract_report("good", good, FACT_DDL)
+    assert report.where(~F.col("ok")).count() == 0 and report.count() == 7
+    assert values(report.where("column in ('artist_id', 'revenue')"), "column", "filled") == [("artist_id", 1), ("revenue", 0)]
+    bad = good.drop("source").withColumn("revenue", F.lit(1.5)).withColumn("note", F.lit("n"))
+    assert values(contract_report("bad", bad, FACT_DDL).where(~F.col("ok")), "column", "place", "expected", "found", "filled") == sorted([
+        ("note", None, None, "string", 2), ("revenue", 5, "decimal(38,9)", "double", 2), ("source", 6, "string", None, 0),
+        ("updated_at", 7, "timestamp", "timestamp", 2)], key=repr)
+    moved = good.select(*reversed(good.columns))
+    assert contract_report("moved", moved, FACT_DDL).where("ok").count() == 1
+    assert contract_report("empty", good.limit(0).select(), "a int").first().ok is False
+
+
 def test_dashboard_counts_distinct_tracks(spark):
     rows = fact(spark, row(1, "x", "t", 1, "1"), row(1, "x", "t", 2, "2"), row(1, "x", "u", 4),
                 row(1, "x", "u", 8, source="b"))

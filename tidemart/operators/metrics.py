@@ -202,10 +202,18 @@ def rank_current(series: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def growth(
-    samples: DataFrame, metrics: Sequence[str], step_s: int, start: Instant, end: Instant
+    samples: DataFrame,
+    metrics: Sequence[str],
+    step_s: int,
+    start: Instant,
+    end: Instant,
+    stale_after_s: int | None = None,
 ) -> DataFrame:
     """Last value of each metric per step, carried forward over empty steps.
 
+    A value is carried for less than ``stale_after_s`` seconds after its own step, so
+    that a metric that stops leaves a gap; None carries it to the end.
+
     The samples are reduced to one row per metric and step first. Each row then
     covers the steps up to the next one, so the gaps are filled without a
     calendar table and without a join; what is left per metric is as long as
@@ -225,6 +233,9 @@ def growth(
     )
     following = F.lead("_step").over(Window.partitionBy("metric").orderBy("_step"))
     until = F.coalesce(following - width, step_of(last))
+    if stale_after_s is not None:
+        # The last step that begins before the value is stale.
+        until = F.least(until, F.col("_step") + (max(stale_after_s * SECOND, 1) - 1) // width * width)
     return (
         per_step.withColumn("_until", until)
         .select("metric", F.explode(F.sequence("_step", "_until", F.lit(width))).alias("_us"),

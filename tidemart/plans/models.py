@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.functions.times import Instant
 from tidemart.operators.marts import customer_orders, order_revenue
-from tidemart.operators.quality import dq_suite
+from tidemart.operators.quality import DECLARED, dq_suite, null_counts
 from tidemart.operators.staging import stg_customers, stg_lineitem, stg_orders
 from tidemart.sources.tables import (
     RAW_TABLES,
@@ -72,12 +72,17 @@ def run_daily(
     tables: tuple[str, ...] = RAW_TABLES,
     buckets: Mapping[str, tuple[str, int]] | None = None,
 ) -> DataFrame:
-    """Load what is missing, refresh the marts, register all models, run the tests."""
+    """Load what is missing, refresh the marts, register all models, run the tests.
+
+    The NULL tests of a mart are measured while it is written.
+    """
     load_raw(spark, src_dir, raw, tables, buckets, location)
     models = dict(build_models(spark, raw))
     for name in STAGING:
         models[name] = as_view(models[name], name)
+    measured = {}
     for name in MARTS:
-        models[name] = materialize(models[name], f"{marts}.{name}", location)
+        models[name], measured[name] = materialize(
+            models[name], f"{marts}.{name}", location, measure=null_counts(DECLARED[name]))
     register_models(models)
-    return dq_suite(models)
+    return dq_suite(models, measured=measured)

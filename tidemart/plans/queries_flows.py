@@ -19,7 +19,7 @@ from tidemart.plans.oracle import money, rounded
 from tidemart.plans.queries_columns import FACT_SELECT, comparable, fact_rows
 from tidemart.plans.queries_models import models, shown
 from tidemart.plans.registry import query
-from tidemart.schemas import FACT_DDL, SEED_ORDERS, check_contract
+from tidemart.schemas import FACT_DDL, SEED_ORDERS, contract_report
 from tidemart.session import fresh_path
 from tidemart.sources import facts, tables
 from tidemart.streaming import streams
@@ -160,9 +160,30 @@ def _(spark, sf):
     return comparable(unified.union_all_sources(*inputs.staged_sources(_log(spark, sf))))
 
 
-@query("dq_schema_contract", f"{FACT_SELECT} from fact")
+def _contract_sql():
+    """Of the fact, and of a copy with a measure as text, without a column and with another one instead."""
+    kinds = {"DATE": "date", "VARCHAR": "string", "BIGINT": "bigint", "DECIMAL(38,9)": "decimal(38,9)", "TIMESTAMP": "timestamp",
+             "TIMESTAMP WITH TIME ZONE": "timestamp"}
+    found = "case any_value(typeof({c})) " + " ".join(f"when '{a}' then '{b}'" for a, b in kinds.items()) + " end"
+    rows = []
+    bad = ("(select event_date, artist_id, track_id, cast(streams as varchar) as streams, revenue, source as note, "
+           "updated_at from fact) b")
+    for name, source, swapped in (("good", "fact", None), ("bad", bad, "note")):
+        for place, field in enumerate(FACT_DDL.split(", "), 1):
+            column, kind = field.split(" ")
+            there = column != "source" or not swapped
+            rows.append(f"select '{name}' as input, '{column}' as \"column\", {place} as place, '{kind}' as expected, "
+                        + (f"{found.format(c=column)} as found, count({column}) as filled, {found.format(c=column)} = '{kind}' as ok"
+                           if there else "null as found, 0 * count(*) as filled, false as ok") + f" from {source}")
+    rows.append(f"select 'bad', 'note', null, null, {found.format(c='note')}, count(note), false from {bad}")
+    return " union all ".join(rows)
+
+
+@query("dq_schema_contract", _contract_sql())
 def _(spark, sf):
-    return comparable(check_contract(fact_rows(spark, sf), FACT_DDL))
+    good = fact_rows(spark, sf)
+    bad = good.withColumn("streams", F.col("streams").cast("string")).withColumnRenamed("source", "note")
+    return contract_report("good", good, FACT_DDL).unionByName(contract_report("bad", bad, FACT_DDL))
 
 
 @query("merge_upsert", f"{FACT_SELECT} from merged")

@@ -348,6 +348,7 @@ def _(spark, sf):
 
 
 _STEP_S = 1800
+_STALE_S = 2 * 3600
 
 
 def _growth_sql(names):
@@ -356,7 +357,7 @@ def _growth_sql(names):
     select metric, ts, value from (
         select g.metric, g.ts,
                last_value(v.value ignore nulls) over (partition by g.metric order by g.ts) as value,
-               count(v.ts) over (partition by g.metric order by g.ts) as seen
+               max(v.ts) over (partition by g.metric order by g.ts) as seen
         from (select m.metric, t.ts from (select distinct metric from lake_readings
                                            where metric in ({listed})) m,
                      (select unnest(generate_series(timestamp '{RANGE[0]}',
@@ -368,7 +369,7 @@ def _growth_sql(names):
                    where value is not null
                      and ts between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'
                    group by 1, 2) v using (metric, ts)
-    ) filled where seen > 0"""
+    ) filled where ts < seen + interval {_STALE_S} second"""
 
 
 _LAKE_GROWTH = ("lake_snapshots", "lake_data_files")
@@ -377,7 +378,7 @@ _STORAGE = ("lake_storage_bytes",)
 
 def _growth(spark, sf, names):
     known = _readings(spark, sf).where(F.col("value").isNotNull())
-    return metrics.growth(known, names, _STEP_S, *RANGE)
+    return metrics.growth(known, names, _STEP_S, *RANGE, stale_after_s=_STALE_S)
 
 
 @query("lake_growth", _growth_sql(_LAKE_GROWTH))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -56,6 +57,29 @@ DASHBOARD_CLUSTER = ("artist_id", "source")
 SAMPLE_DDL = "metric string, labels map<string,string>, ts timestamp, value double"
 
 
+def contract_report(name: str, df: DataFrame, expected: StructType | str) -> DataFrame:
+    """One row for each column that an input should have or has: what is expected, what is there, and how much is filled.
+
+    ``place`` is where the column should stand; ``ok`` that it stands there with the
+    declared type. A missing column has nothing filled, an extra one no place.
+    """
+    wanted = StructType.fromDDL(expected) if isinstance(expected, str) else expected
+    have = {field.name: (place, field.dataType.simpleString()) for place, field in enumerate(df.schema, 1)}
+    want = {field.name: (place, field.dataType.simpleString()) for place, field in enumerate(wanted, 1)}
+    filled = df.agg(*[F.count(F.col(f"`{column}`")).alias(f"n{place}") for column, (place, _) in have.items()]
+                    or [F.lit(0).alias("none")])
+    cells = []
+    for column in [*want, *[extra for extra in have if extra not in want]]:
+        place, kind = want.get(column, (None, None))
+        found_place, found = have.get(column, (None, None))
+        cells.append(F.struct(
+            F.lit(name).alias("input"), F.lit(column).alias("column"), F.lit(place).cast("int").alias("place"),
+            F.lit(kind).cast("string").alias("expected"), F.lit(found).cast("string").alias("found"),
+            (F.col(f"n{found_place}") if found_place else F.lit(0)).cast("bigint").alias("filled"),
+            F.lit((place, kind) == (found_place, found)).alias("ok")))
+    return filled.select(F.inline(F.array(*cells)))
+
+
 class ContractError(ValueError):
     """A DataFrame does not have the declared columns, order and types."""
 

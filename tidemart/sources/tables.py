@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemart.session import delete_folder
+
 RAW_TABLES = (
     "customer", "orders", "lineitem", "supplier", "nation", "region", "part", "partsupp",
 )
@@ -48,7 +50,9 @@ def load_raw(
     """Copy source tables into ``database``; a table that exists is left alone.
 
     Every table is checked by itself, so a load that stopped half-way is
-    completed by the next call. ``buckets`` maps a table to (column, count):
+    completed by the next call. A table is registered after its files are
+    written; what a load that stopped has left in its folder is deleted and the table
+    loaded again. ``buckets`` maps a table to (column, count):
     tables bucketed on a shared key later join and aggregate on it without a
     shuffle. Returns one row per table: name, rows and whether it was skipped.
     """
@@ -59,6 +63,8 @@ def load_raw(
         name = f"{database}.{table}"
         present = spark.catalog.tableExists(name)
         if not present:
+            # Files without a table: a load that stopped before it was registered.
+            delete_folder(spark, f"{spark.catalog.getDatabase(database).locationUri}/{table.lower()}")
             source = scan_source(spark, src_dir, table)
             writer = _bucketed(source, *buckets[table]) if table in buckets else source.write
             writer.mode("ignore").saveAsTable(name)
@@ -98,17 +104,23 @@ def materialize(
     name: str,
     location: str | None = None,
     bucket_by: tuple[str, int] | None = None,
-) -> DataFrame:
+    measure: Mapping[str, Column] | None = None,
+) -> DataFrame | tuple[DataFrame, dict[str, object]]:
     """Full refresh of a saved table; views that read it stay in place.
 
-    The new content must not read the table it replaces.
+    The new content must not read the table it replaces. ``measure`` names
+    aggregates that are worked out while the rows are written, without another
+    scan; they are then returned as well.
     """
     spark = df.sparkSession
+    if measure:
+        seen = Observation()
+        df = df.observe(seen, *[value.alias(label) for label, value in measure.items()])
     if "." in name:
         create_database(spark, name.split(".")[0], location)
     writer = _bucketed(df, *bucket_by) if bucket_by else df.write
     writer.mode("overwrite").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return (spark.table(name), seen.get) if measure else spark.table(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
