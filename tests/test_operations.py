@@ -68,6 +68,9 @@ def test_catalog_gauges(spark):
     full = long.where("metric = 'lake_table_records' and labels['table'] = 'full'").first()
     assert (full.value, full.labels) == (3.0, {"schema": "s", "table": "full"})
     assert long.where("metric = 'lake_snapshots'").first().labels == {}
+    renamed = lakehouse.gauges_to_long(summary, per_table, "2024-01-01 12:30:00", prefix="house")
+    assert {r.metric.replace("house_", "lake_") for r in renamed.collect()} == {r.metric for r in long.collect()}
+    assert renamed.where("metric not like 'house\\_%'").count() == 0
 
 
 def run(state, day, hour=0, seconds=None):

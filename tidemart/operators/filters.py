@@ -64,8 +64,8 @@ def min_orders(df: DataFrame, more_than: int, column: str = "total_orders") -> D
 
 
 def label_nonempty(df: DataFrame, label: str = "name") -> DataFrame:
-    """Series whose label is set: the matcher ``.+`` anchored at both ends."""
-    return df.where(F.col("labels")[label].rlike("^.+$"))
+    """Series whose label is set and not empty."""
+    return df.where(F.col("labels")[label] != "")
 
 
 def positive_limit(df: DataFrame, column: str) -> DataFrame:

@@ -12,7 +12,9 @@ from tidemart.functions import epoch_seconds
 from tidemart.functions.times import Instant, instant, instant_like
 from tidemart.operators.filters import live_rows, since_interval
 
-# Summary column -> gauge name, and the same for the per-table gauges.
+PREFIX = "lake"
+
+# Summary column -> gauge name, and the same for the per-table gauges; ``gauge_name`` changes the prefix.
 SUMMARY_GAUGES = {
     "snapshots": "lake_snapshots",
     "snapshots_per_hour": "lake_snapshots_per_hour",
@@ -31,6 +33,11 @@ TABLE_GAUGES = {
 }
 
 
+def gauge_name(name: str, prefix: str) -> str:
+    """The name of a gauge under another prefix than the library's own."""
+    return f"{prefix}{name.removeprefix(PREFIX)}"
+
+
 def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
@@ -165,10 +172,12 @@ def _long(df: DataFrame, gauges: dict[str, str], labels: Sequence[tuple[str, str
     )
 
 
-def gauges_to_long(summary: DataFrame, per_table: DataFrame, as_of: Instant) -> DataFrame:
+def gauges_to_long(
+    summary: DataFrame, per_table: DataFrame, as_of: Instant, prefix: str = PREFIX
+) -> DataFrame:
     """All gauges as (metric, labels, ts, value) rows, ready to append to the samples."""
     table_labels = (("schema", "schema_name"), ("table", "table_name"))
-    rows = _long(summary, SUMMARY_GAUGES, ()).unionByName(
-        _long(per_table, TABLE_GAUGES, table_labels)
-    )
+    named = [{column: gauge_name(name, prefix) for column, name in gauges.items()}
+             for gauges in (SUMMARY_GAUGES, TABLE_GAUGES)]
+    rows = _long(summary, named[0], ()).unionByName(_long(per_table, named[1], table_labels))
     return rows.select("metric", "labels", instant(as_of).alias("ts"), "value")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions import ratio, table_label, threshold_status
-from tidemart.functions.status import LAKE_STEPS, Steps, choose
+from tidemart.functions.status import CPU_STEPS, LAKE_STEPS, Steps, choose
 from tidemart.functions.times import Instant, instant_like, micros
 from tidemart.operators.filters import label_nonempty, positive_limit
 
@@ -201,6 +201,12 @@ def rank_current(series: DataFrame, n: int | None = None) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
+def cpu_status(samples: DataFrame, window_s: int = 120) -> DataFrame:
+    """Last CPU use of every container in percent, with the colour of its panel."""
+    known = cpu_percent(samples, window_s).where(F.col("value").isNotNull())
+    return rank_current(known).withColumn("status", threshold_status(F.col("value"), CPU_STEPS))
+
+
 def growth(
     samples: DataFrame,
     metrics: Sequence[str],

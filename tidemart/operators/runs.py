@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions import epoch_seconds, hour_bucket, micros, percent, ratio, round_to
+from tidemart.functions import epoch_seconds, hour_bucket, micros, percent, ratio, round_to, threshold_status
+from tidemart.functions.status import FAILED_RUNS_STEPS
 from tidemart.functions.times import Instant
 from tidemart.operators.filters import (
     is_not_null,
@@ -37,6 +38,12 @@ def runs_failed(runs: DataFrame, as_of: Instant, days: int = DAYS) -> DataFrame:
     return broken.agg(F.count(F.lit(1)).alias("failed"))
 
 
+def runs_failed_status(runs: DataFrame, as_of: Instant, days: int = DAYS) -> DataFrame:
+    """The number of failed runs with the colour of its panel."""
+    return runs_failed(runs, as_of, days).withColumn(
+        "status", threshold_status(F.col("failed"), FAILED_RUNS_STEPS))
+
+
 def runs_success_rate(runs: DataFrame, as_of: Instant, days: int = DAYS) -> DataFrame:
     """Successes among finished runs in percent; NULL when none has finished."""
     finished = state_in(_recent(runs, as_of, days), "success", "failed")

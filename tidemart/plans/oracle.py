@@ -65,6 +65,7 @@ def rate_sql(relation: str, window_s: int, keys: str) -> str:
 
 
 RATE_WINDOW_S = 7200
+PANEL_WINDOW_S = 120
 
 RELATIONS = {
     "stg_customers": """
@@ -210,6 +211,10 @@ RELATIONS = {
                {_NAME} as name, cast(user_id as varchar) as instance, ts, value
         from events""",
     "rates": rate_sql("samples", RATE_WINDOW_S, "metric, name, instance"),
+    "panel_rates": rate_sql("samples", PANEL_WINDOW_S, "metric, name, instance"),
+    "panel_cpu": f"""
+        select name, ts, {rounded("sum(rate) * 100", 6)} as value
+        from panel_rates where metric = '{CPU}' and name <> '' group by name, ts""",
     "cpu": f"""
         select name, ts, {rounded("sum(rate) * 100", 6)} as value
         from rates where metric = '{CPU}' and name <> '' group by name, ts""",

@@ -11,7 +11,7 @@ from tidemart.operators import runs as run_ops
 from tidemart.operators.metrics import DISK, MEMORY, MEMORY_LIMIT, NETWORK
 from tidemart.plans import inputs
 from tidemart.plans.inputs import AS_OF, RANGE
-from tidemart.plans.oracle import RATE_WINDOW_S, rounded
+from tidemart.plans.oracle import PANEL_WINDOW_S, RATE_WINDOW_S, rounded
 from tidemart.plans.registry import query
 
 _WEEK = f"execution_date >= timestamp '{AS_OF}' - interval 7 day"
@@ -43,6 +43,12 @@ def _(spark, sf):
     return run_ops.runs_failed(_runs(spark, sf), AS_OF)
 
 
+@query("runs_failed_status", f"select failed, case when failed >= 1 then 'red' else 'green' end as status "
+       f"from (select count(*) filter (where state = 'failed') as failed from run_log where {_WEEK}) r")
+def _(spark, sf):
+    return run_ops.runs_failed_status(_runs(spark, sf), AS_OF)
+
+
 _GOOD = "count(*) filter (where state = 'success')"
 _DONE = "count(*) filter (where state = 'success' or state = 'failed')"
 
@@ -305,12 +311,12 @@ def _(spark, sf):
     )
 
 
-def _directions(names):
+def _directions(names, rates="rates"):
     arms = " ".join(f"when '{metric}' then '{text}'" for text, metric in names.items())
     listed = ", ".join(f"'{metric}'" for metric in names.values())
     return f"""
     select case metric {arms} end as direction, name, instance, ts, {rounded("rate", 6)} as rate
-    from rates where metric in ({listed}) and name <> ''"""
+    from {rates} where metric in ({listed}) and name <> ''"""
 
 
 def _io(rates):
@@ -330,6 +336,31 @@ def _(spark, sf):
     return _io(metrics.disk_rates(_containers(spark, sf), RATE_WINDOW_S))
 
 
+@query("network_rates_2m", _directions(NETWORK, "panel_rates"))
+def _(spark, sf):
+    return _io(metrics.network_rates(_containers(spark, sf), PANEL_WINDOW_S))
+
+
+@query("disk_rates_2m", _directions(DISK, "panel_rates"))
+def _(spark, sf):
+    return _io(metrics.disk_rates(_containers(spark, sf), PANEL_WINDOW_S))
+
+
+@query("cpu_percent_2m", "select * from panel_cpu")
+def _(spark, sf):
+    return metrics.cpu_percent(_containers(spark, sf), PANEL_WINDOW_S).select(
+        "name", "ts", _six("value")
+    )
+
+
+@query("cpu_status", """
+    select name, value, case when value >= 1.0 then 'red' when value >= 0.5 then 'yellow' else 'green' end as status
+    from (select name, arg_max(value, ts) as value from cpu where value is not null group by name) c
+    order by value desc, name""")
+def _(spark, sf):
+    return metrics.cpu_status(_containers(spark, sf), RATE_WINDOW_S).withColumn("value", _six("value"))
+
+
 @query("rank_current_memory", f"select name, arg_max(value, ts) as value, "
        f"case when arg_max(value, ts) >= 1073741824 then 'red' "
        f"when arg_max(value, ts) >= 536870912 then 'yellow' else 'green' end as status "
