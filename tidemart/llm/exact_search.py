@@ -8,9 +8,9 @@ hold enough rows. Its k-th score then bounds what can still matter: by the
 triangle inequality an annulus [from, to] around a pivot at distance d holds
 nothing nearer than max(from - d, d - to), and is left out if that is too far.
 
-There are at most ``PIVOTS x ANNULI`` annuli, whatever the number of rows; rows
-of an annulus and queries are searched in bounded blocks, and a row is sent on
-only if it beats the query's bound.
+The number of pivots grows with the square root of the rows up to ``MOST_PIVOTS``, so
+that annuli stay short; rows of an annulus are searched in bounded blocks, a query goes only
+to the annuli it visits, and a row is sent on only if it beats the query's bound.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import stage, table
 from tidemart.llm.vectors import in_blocks, matrix, pivot_sample, spread_pivots, squared, usable
 
-PIVOTS, ANNULI = 16, 8
+PIVOTS, MOST_PIVOTS, ANNULI = 16, 256, 8
+VISIT_ROWS = 1024
 SCALE = 64
 TOP = 20
 QUERY_STEP = 20
@@ -84,9 +85,11 @@ def search(vectors: DataFrame, queries_where, k: int = TOP, id_column: str = "ve
     whole = usable(vectors, id_column, vector_column, "vectors")
     rows = whole.withColumn("vec", F.transform("vec", lambda x: F.floor(x * F.lit(float(scale)))))
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    most = float(rows.agg(F.max(norm)).first()[0] or 0.0)
+    most, n = rows.agg(F.max(norm), F.count("*")).first()
+    most = float(most or 0.0)
+    n_pivots = min(MOST_PIVOTS, max(PIVOTS, int(n**0.5) // 8))
     sample = pivot_sample(rows).astype(float)
-    pivots = spread_pivots(lifted(sample, most), PIVOTS) if len(sample) else np.zeros((1, 1))
+    pivots = spread_pivots(lifted(sample, most), n_pivots) if len(sample) else np.zeros((1, 1))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,9 +119,7 @@ def search(vectors: DataFrame, queries_where, k: int = TOP, id_column: str = "ve
         """Task: queries to (query, list) for the annuli of a round."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in (b.slice(at, VISIT_ROWS) for b in batches for at in range(0, b.num_rows, VISIT_ROWS)):
                 asked = matrix(batch.column(2)).astype(float)
                 flat = np.column_stack([asked, np.zeros(len(asked))])
                 away = np.sqrt(squared(flat, pivots))[:, around]
@@ -146,17 +147,16 @@ def search(vectors: DataFrame, queries_where, k: int = TOP, id_column: str = "ve
     with_bound = schema + ", least long, least_id long, list int"
     listed = listed.select("row", "vec_id", "vec", "list")
     queries = rows.select("row", "vec_id", "vec").filter(F.col("vec_id").isNotNull()).filter(queries_where)
-    n_queries = queries.count()
     by_list = dict(zip(lists.tolist(), sizes.tolist()))
     work = lambda one, two: best(one, two, k)
     none = F.lit(np.iinfo(np.int64).min)
     opening = queries.withColumns({"least": none, "least_id": none}).mapInArrow(visits(True), with_bound)
-    first = stage(ranked(in_blocks(listed, opening, by_list, n_queries, work, FOUND), k), "nearest")
+    first = stage(ranked(in_blocks(listed, opening, by_list, work, FOUND), k), "nearest")
     bounds = first.filter(F.col("rank") == k).select(
         F.col("query_row").alias("row"), F.col("score").alias("least"), F.col("vec_id").alias("least_id"))
     bounded = queries.join(bounds, "row", "left").withColumns(
         {"least": F.coalesce("least", none), "least_id": F.coalesce("least_id", none)})
-    rest = in_blocks(listed, bounded.mapInArrow(visits(False), with_bound), by_list, n_queries, work, FOUND)
+    rest = in_blocks(listed, bounded.mapInArrow(visits(False), with_bound), by_list, work, FOUND)
     biggest = F.lit(np.iinfo(np.int64).max)
     return ranked(first.drop("rank").unionByName(rest), k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), F.nullif("vec_id", biggest).alias("vec_id"), "score")
@@ -167,12 +167,13 @@ def op8_pivot_distance_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL = f"""with v as (
-  select vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as vec from embeddings
+  select vec_id, row_number() over () as row, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as vec
+  from embeddings
   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(embedding) > 0
 ), scored as (
-  select q.vec_id as query_id, x.vec_id, list_inner_product(q.vec::double[], x.vec::double[])::bigint as score
-  from v q join v x on q.vec_id <> x.vec_id where q.vec_id % {QUERY_STEP} = 0
+  select q.vec_id as query_id, q.row, x.vec_id, list_inner_product(q.vec::double[], x.vec::double[])::bigint as score
+  from v q join v x on q.row <> x.row where q.vec_id % {QUERY_STEP} = 0
 )
 select query_id, rank, vec_id, score from (
-  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+  select *, row_number() over (partition by row order by score desc, vec_id nulls last)::int as rank from scored)
 where rank <= {TOP}"""

@@ -101,8 +101,7 @@ def search(vectors: DataFrame, queries_where, k: int = TOP, id_column: str = "ve
     posted = stage(rows.mapInArrow(lists(POSTED), schema), "postings")
     sizes = {row["list"]: row["count"] for row in posted.groupBy("list").count().collect()}
     queries = rows.filter(F.col("vec_id").isNotNull()).filter(queries_where)
-    n_queries = queries.count()
-    found = in_blocks(posted, queries.mapInArrow(lists(OPENED), schema), sizes, n_queries,
+    found = in_blocks(posted, queries.mapInArrow(lists(OPENED), schema), sizes,
                       lambda one, two: rerank(one, two, pivots, k), FOUND)
     order = Window.partitionBy("query_row").orderBy("score", "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import stage
 
 PIVOT_SAMPLE = 8192
-BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
+BLOCK_ROWS, BLOCK_QUERIES, SLICE_QUERIES = 8192, 1 << 17, 1024
 
 
 def finite(vector: Column) -> Column:
@@ -61,25 +63,43 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * a @ b.T, 0.0)
 
 
-def in_blocks(rows: DataFrame, queries: DataFrame, sizes: dict[int, int], n_queries: int, work, schema: str) -> DataFrame:
-    """``work(rows, queries)`` on every pair of a block of rows and a block of queries of one list.
+def in_blocks(rows: DataFrame, queries: DataFrame, sizes: dict[int, int], work, schema: str) -> DataFrame:
+    """``work(rows, queries)`` on every block of a list's rows and the queries that visit the list, a slice at a time.
 
     Both sides have ``list``. A list's rows are dealt to blocks of about
-    ``BLOCK_ROWS``, all queries to blocks of about ``BLOCK_QUERIES``; a row goes to each
-    query block and a query to each row block of its lists, so a task's group
-    is bounded whatever the size of a list. ``sizes`` has the rows of every
-    list; lists are of a fixed number.
+    ``BLOCK_ROWS``; a query goes to each of them, and only to those of the lists it visits. A task
+    holds one block of rows and lets its queries pass by, so it needs no more memory for more
+    queries. A block visited by more than ``BLOCK_QUERIES`` queries is dealt to several tasks;
+    that alone copies rows. ``sizes`` has the rows of every list; lists are of a bounded number.
     """
-    blocks = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in (pair[0], max(1, -(-pair[1] // BLOCK_ROWS)))])
-                          if sizes else F.create_map(F.lit(0), F.lit(1)), F.col("list"))
-    blocks = F.coalesce(blocks, F.lit(1))
-    groups = max(1, -(-n_queries // BLOCK_QUERIES))
-    left = rows.withColumn("a", F.pmod(F.xxhash64("row"), blocks).cast("int")).withColumn(
-        "b", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = queries.withColumn("b", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")).withColumn(
-        "a", F.explode(F.sequence(F.lit(0), blocks - 1)))
-
-    def run(one: pa.Table, two: pa.Table) -> pa.Table:
-        return work(one, two)
-
-    return left.groupBy("list", "a", "b").cogroup(right.groupBy("list", "a", "b")).applyInArrow(run, schema)
+    spark = rows.sparkSession
+    visits = dict(map(tuple, queries.groupBy("list").count().collect()))
+    dealt = [(k, max(1, -(-n // BLOCK_ROWS)), max(1, -(-visits[k] // BLOCK_QUERIES))) for k, n in sizes.items() if k in visits]
+    plan = F.broadcast(spark.createDataFrame(dealt, "list int, blocks int, groups int"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    part = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
+    left = rows.join(plan, "list").withColumns({"a": part("blocks"), "b": spread("groups"), "kind": F.lit(0)})
+    right = queries.join(plan, "list").withColumns({"b": part("groups"), "a": spread("blocks"), "kind": F.lit(1)})
+    both = left.unionByName(right, allowMissingColumns=True).drop("blocks", "groups")
+    keys = ["list", "a", "b", "kind"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, block, whole = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.column_stack([batch.column(k).to_numpy() for k in keys])
+            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), len(marks)]
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                key, part_of = tuple(marks[low, :3].tolist()), batch.slice(low, high - low)
+                if marks[low, 3] == 0:
+                    if key != held:
+                        held, block, whole = key, [], None
+                    block.append(part_of)
+                elif key == held:
+                    whole = pa.Table.from_batches(block) if whole is None else whole
+                    for at in range(0, high - low, SLICE_QUERIES):
+                        found = work(whole, pa.Table.from_batches([part_of.slice(at, SLICE_QUERIES)]))
+                        yield from found.to_batches()
+
+    return both.repartition(*keys[:3]).sortWithinPartitions(*keys).mapInArrow(run, schema)
