@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from comparison import connect, differences
 from conftest import SMALL
 from tables import odd_docs  # noqa: F401
@@ -170,6 +171,30 @@ def test_urls(spark):
     assert hosts.judge(pages.limit(0), good).count() == 0
 
 
+def test_registered_domains(spark):
+    hosts_of = {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "b.co.uk:8080": ("b.co.uk", "co.uk"),
+                "x.com:80": ("x.com", "com"), "w.x.com": ("x.com", "com"), "com": ("com", "com"), "": ("", ""),
+                "1.2.3.4": ("1.2.3.4", ""), "9.9.3.4:80": ("9.9.3.4", ""), "[::1]:80": ("[::1]", ""), "localhost": ("localhost", "localhost")}
+    rows = spark.createDataFrame([(h,) for h in hosts_of], "host string")
+    domain, suffix = hosts.domain_parts(F.col("host"))
+    assert {r.host: (r.domain, r.suffix) for r in rows.select("host", domain.alias("domain"), suffix.alias("suffix")).collect()} == hosts_of
+
+
+def test_pages_are_scanned_twice(spark, sf):
+    """Once to count by host, once for the result; the levels are small staged tables."""
+    found = hosts.op5_host_reputation(spark, sf)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("pages.parquet") == 1 and "NestedLoop" not in text
+
+
+def test_long_urls_and_clashing_columns(spark):
+    long = "http://a.net/" + "x" * 100_000
+    pages = spark.createDataFrame([(1, long, "h", 1), (2, "http://b.com:1/de/", "i", 0)], "page_id long, url string, host string, n int")
+    good = spark.createDataFrame([(1, 1)], "page_id long, good int")
+    found = {r.page_id: r for r in hosts.judge(pages, good).collect()}
+    assert (found[1].path, found[1].rule) == ("/" + "x" * 100_000, "net/") and found[2].host == "b.com:1"
+
+
 ODD = [(0, [1.0, 0.5]), (20, None), (40, [1.0, None]), (60, [float("nan"), 1.0]), (None, [0.5, 0.5]), (1, [0.0, 0.0]),
        (2, [1.0, 0.5]), (2, [1.0, 0.5]), (3, [1.0, 2.0, 3.0]), (100, [-1.0, 0.25])]
 

@@ -18,10 +18,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import LOWER, UPPER, lower_ascii, table
+from tidemart.llm.common import LOWER, UPPER, lower_ascii, stage, table
 
 # Fixed values of the contract: (verdict, host, start of the path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+# registries' suffixes of two labels.
+SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx", "com.tr",
+            "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk")
+PORT, ADDRESS = r":[0-9]*$", r"^([0-9.]+|\[.*)$"
 DEVIATIONS = 1.645
 LEAST_GOOD = 0.5
 # Strength of a prior: at least as much as two pages, at most ten thousand.
@@ -52,50 +56,52 @@ def strength(groups: DataFrame, mean: Column) -> DataFrame:
     sums = groups.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("groups"),
                       F.sum(F.col("n") * F.pow(F.col("good") / F.col("n") - mean, 2)).alias("spread"),
                       F.max(mean * (1 - mean)).alias("chance"))
-    extra = (F.col("spread") - (F.col("groups") - 1) * F.col("chance")) / (F.col("n") - F.col("nn") / F.col("n"))
-    share = F.greatest(extra, F.lit(0.0)) / F.col("chance")
+    extra = (F.col("spread") - (F.col("groups") - 1) * F.col("chance")) / F.nullif(
+        F.col("n") - F.col("nn") / F.col("n"), F.lit(0.0))
+    share = F.greatest(extra, F.lit(0.0)) / F.nullif(F.col("chance"), F.lit(0.0))
     worth = F.when(share > 0, (1 - share) / share).otherwise(STRONGEST)
     return sums.select(F.greatest(F.least(F.coalesce(worth, F.lit(STRONGEST)), F.lit(STRONGEST)), F.lit(WEAKEST)).alias("worth"))
 
 
-def reputation(labelled_hosts: DataFrame, two_part_suffixes: Sequence[str] = ()) -> DataFrame:
+def domain_parts(host: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host. Its port is no part of them; an address is a domain of its own."""
+    name = F.regexp_replace(host, PORT, "")
+    labels = F.split(name, r"\.")
+    two = F.regexp_extract(name, r"[^.]*\.[^.]*$", 0)
+    of_two = two.isin(*suffixes)
+    address = name.rlike(ADDRESS)
+    n = F.when(of_two, 3).otherwise(2)
+    domain = F.when(address | (F.size(labels) <= n), name).otherwise(F.concat_ws(".", F.slice(labels, -n, n)))
+    return domain, F.when(address, "").when(of_two, two).otherwise(F.element_at(labels, -1))
+
+
+def reputation(labelled_hosts: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """(host, n, good, mean, bound) from rows (host, n, good), one for each host, n = 0 if unlabelled.
 
-    A registered domain is the suffix and one label before it; ``co.uk`` and the
-    like can be given as suffixes. Without any label the mean is 1/2.
+    A registered domain is the suffix and one label before it. Without any
+    label the mean is 1/2. The three levels are staged, one row a group; the
+    strengths of the priors are three numbers.
     """
-    parts = F.split("host", r"\.")
-    two = F.regexp_extract("host", r"[^.]*\.[^.]*$", 0)
-    suffix = F.when(two.isin(*two_part_suffixes), two).otherwise(F.element_at(parts, -1)) if two_part_suffixes \
-        else F.element_at(parts, -1)
-    domain = F.when(F.length("host") > F.length("suffix"), F.concat(
-        F.element_at(F.split(F.expr("substring(host, 1, length(host) - length(suffix) - 1)"), r"\."), -1), F.lit("."), F.col("suffix"))
-    ).otherwise(F.col("host"))
-    hosts = labelled_hosts.withColumn("suffix", suffix).withColumn("domain", domain)
+    domain, suffix = domain_parts(F.col("host"), suffixes)
+    hosts = stage(labelled_hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     add = (F.sum("n").alias("n"), F.sum("good").alias("good"))
-    domains = hosts.groupBy("domain", "suffix").agg(*add)
-    suffixes = domains.groupBy("suffix").agg(*add)
-    start = suffixes.agg((F.sum("good") + 1).alias("g"), (F.sum("n") + 2).alias("t")).select(
-        (F.coalesce("g", F.lit(1)) / F.coalesce("t", F.lit(2))).alias("start"))
+    domains = stage(hosts.groupBy("domain", "suffix").agg(*add), "domains")
+    tops = stage(domains.groupBy("suffix").agg(*add), "suffixes")
+    sums = tops.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
 
     def shrink(groups: DataFrame) -> DataFrame:
-        """Adds mean and bound of the posterior; ``groups`` has n, good, prior and worth."""
-        a = F.col("worth") * F.col("prior") + F.col("good")
-        b = F.col("worth") * (1 - F.col("prior")) + F.col("n") - F.col("good")
+        """Mean and bound of the posterior of groups with n, good and prior."""
+        worth = strength(groups.filter("n > 0"), F.col("prior")).first()["worth"]
+        a = worth * F.col("prior") + F.col("good")
+        b = worth * (1 - F.col("prior")) + F.col("n") - F.col("good")
         mean = a / (a + b)
         return groups.withColumn("mean", mean).withColumn(
             "bound", mean - DEVIATIONS * F.sqrt(mean * (1 - mean) / (a + b + 1)))
 
-    # The strengths and the start are tables of one row each.
-    one_row = lambda df, more: df.join(F.broadcast(more), F.lit(True))
-    used = one_row(suffixes, start)
-    top = shrink(one_row(used.withColumn("prior", F.col("start")), strength(used.filter("n > 0"), F.col("start"))))
-    above = top.select("suffix", F.col("mean").alias("prior"))
-    used = domains.join(above, "suffix")
-    middle = shrink(one_row(used, strength(used.filter("n > 0"), F.col("prior"))))
-    above = middle.select("domain", "suffix", F.col("mean").alias("prior"))
-    used = hosts.join(above, ["domain", "suffix"])
-    return shrink(one_row(used, strength(used.filter("n > 0"), F.col("prior")))).select("host", "n", "good", "mean", "bound")
+    top = shrink(tops.withColumn("prior", F.lit((sums["good"] + 1) / (sums["n"] + 2))))
+    middle = shrink(domains.join(top.select("suffix", F.col("mean").alias("prior")), "suffix"))
+    return shrink(hosts.join(middle.select("domain", "suffix", F.col("mean").alias("prior")), ["domain", "suffix"])).select(
+        "host", "n", "good", "mean", "bound")
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
@@ -104,7 +110,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str,
 
     ``outcomes`` has (page_id, good 0 or 1); an id with two outcomes counts as
     the worse. A null or malformed url has an empty host, that is a host too. A
-    null page_id has no outcome.
+    null page_id has no outcome. Urls of any length are taken whole; only the named columns
+    are read, so others may have any name.
     """
     host, path = url_parts(F.col("url"))
     known = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -158,8 +165,11 @@ SQL = f"""with rests as (
   select doc_id as page_id, min(case when quality = 1 and coalesce(toxic, 0) = 0 then 1 else 0 end) as good
   from labels where doc_id is not null group by doc_id
 ), hosts as (
-  select host, string_split(host, '.')[-1] as suffix, array_to_string(string_split(host, '.')[-2:], '.') as domain,
-    count(good) as n, coalesce(sum(good), 0)::bigint as good
+  select host, count(good) as n, coalesce(sum(good), 0)::bigint as good,
+    regexp_replace(host, '{PORT}', '') as name, string_split(name, '.') as labels,
+    array_to_string(labels[-2:], '.') in {SUFFIXES} and len(labels) > 1 as of_two, regexp_matches(name, '{ADDRESS}') as address,
+    case when address then '' when of_two then array_to_string(labels[-2:], '.') else labels[-1] end as suffix,
+    case when address then name when of_two then array_to_string(labels[-3:], '.') else array_to_string(labels[-2:], '.') end as domain
   from known left join marks using (page_id) group by host
 ), domains as (select domain, suffix, sum(n)::bigint as n, sum(good)::bigint as good from hosts group by domain, suffix
 ), suffixes as (select suffix, sum(n)::bigint as n, sum(good)::bigint as good from domains group by suffix
