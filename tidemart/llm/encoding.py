@@ -10,13 +10,13 @@ from __future__ import annotations
 import json
 import string
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 
 # How byte-level vocabularies write the 256 bytes as characters.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -73,12 +73,11 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
+        self.path = path
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         vocabulary, suffix = model["vocab"], model["end_of_word_suffix"]
-        self.whole = Tokenizer.from_file(path)
 
         def raw(token: str) -> bytes:
             ends = token.endswith(suffix)
@@ -99,6 +98,12 @@ class WordEncoder:
         # No white space or combining mark below U+0250 but for these; U+0130 has two-letter lower case.
         self.odd = regex.compile("[^!-~\n\u00a1-\u012f\u0131-\u024f]").search
 
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def by_whole(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
