@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from support import values
 
 from tidemart.operators import metrics
@@ -58,6 +59,38 @@ def test_rates_equal_the_definition_for_any_chunk(spark, chunk_s):
         assert value is None or got[key] == pytest.approx(value, abs=1e-9)
 
 
+@pytest.mark.parametrize("chunk_rows", [1, 7, 100, 10_000])
+def test_rates_equal_the_definition_for_chunks_by_rows(spark, chunk_rows):
+    rng = random.Random(6)
+    rows = [("m", {"name": "c"}, s, float(rng.randrange(50))) for s in sorted(rng.sample(range(900), 700))]
+    rows += [("m", {"name": "c"}, s, float(rng.randrange(50))) for s in range(3000, 30_000, 500)]
+    rows += [("m", {"name": "d"}, s, float(rng.randrange(50))) for s in range(0, 8000, 40)]
+    got = rates(metrics.counter_rate(samples(spark, *rows), 120, chunk_rows=chunk_rows))
+    want = brute_force(rows, 120)
+    assert got.keys() == want.keys()
+    for key, value in want.items():
+        assert (got[key] is None) == (value is None)
+        assert value is None or got[key] == pytest.approx(value, abs=1e-9)
+
+
+def test_a_million_samples_in_an_hour_are_spread(spark):
+    """One series, denser at its end: equal to the uncut result, and no chunk with more than a few windows' samples."""
+    n = 1_000_000
+    us = (F.col("id") * 3600 - F.pmod(F.col("id"), F.lit(7)) * 100).cast("long")
+    dense = spark.range(n).select(
+        F.lit("m").alias("metric"), F.create_map(F.lit("name"), F.lit("hot")).alias("labels"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + us).alias("ts"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("value"))
+    cut = metrics.counter_rate(dense, 120, chunk_rows=20_000)
+    whole = metrics.counter_rate(dense, 120, chunk_s=100_000)
+    both = cut.select("ts", F.col("rate").alias("a")).join(whole.select("ts", F.col("rate").alias("b")), "ts")
+    found = both.agg(F.count("*"), F.max(F.abs(F.col("a") - F.col("b"))), F.count_if(F.col("a").isNull() != F.col("b").isNull())).first()
+    assert found[0] == n and found[1] < 1e-6 and found[2] == 0
+    known = dense.withColumns({"_series": metrics.series_id(), "_us": F.unix_micros("ts")})
+    sizes = metrics._by_rows(known, 120 * metrics.SECOND, 20_000).groupBy("_own").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 35_000 and sizes.count() >= 28
+
+
 def test_rate_cases(spark):
     labels = {"name": "c"}
     rows = [("m", labels, s, v) for s, v in

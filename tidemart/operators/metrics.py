@@ -69,8 +69,32 @@ def last_not_null(samples: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def _by_rows(cut: DataFrame, span: int, rows: int) -> DataFrame:
+    """Adds ``_own``, the start of a sample's chunk, and ``_width``, the chunk's length in microseconds.
+
+    A first pass counts the samples of each series by slot, an hour or more.
+    Slots with more than ``rows`` are halved until they hold about as many, but not below
+    ``span``. Only those slots are in the table that is joined.
+    """
+    halvings = max(0, (max(3600 * SECOND, 12 * span) // span - 1).bit_length())
+    slot = span << halvings
+    place = ["metric", "_series", "_slot"]
+    cut = cut.withColumn("_slot", F.col("_us") - F.pmod(F.col("_us"), F.lit(slot)))
+    dense = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+    level = F.least(F.ceil(F.log2(F.col("_n") / rows)), F.lit(halvings)).cast("int")
+    width = F.expr(f"shiftright({slot}L, coalesce(_level, 0))")
+    return (
+        cut.join(dense.select(*place, level.alias("_level")), place, "left")
+        .withColumn("_width", width)
+        .withColumn("_own", F.col("_us") - F.pmod(F.col("_us"), F.col("_width")))
+    )
+
+
 def counter_rate(
-    samples: DataFrame, window_s: int = 120, chunk_s: int | None = None
+    samples: DataFrame,
+    window_s: int = 120,
+    chunk_s: int | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Per-second increase of every counter over the last ``window_s`` seconds.
 
@@ -84,25 +108,31 @@ def counter_rate(
     the end of its chunk is also given to the next one, which is all that
     chunk's first rates can look back at: results equal those of an uncut
     series. ``chunk_s`` is at least the window, by default twelve windows or an
-    hour, so that at most one row in twelve is copied on even data.
+    hour, so that at most one row in twelve is copied on even data. With
+    ``chunk_rows`` chunks follow the samples instead: after a pass that counts them, a
+    series is cut the finer the denser it is, down to one window, so that no task
+    holds much more than twice the given number or twice the samples of a window.
 
     Both windows are running ones, linear in the rows. A sliding frame would
     visit every sample of the window again for each of its rows, which is
     quadratic where samples are dense.
     """
     span = window_s * SECOND
-    width = max(chunk_s or max(3600, 12 * window_s), window_s) * SECOND
-    own = F.col("_us") - F.pmod(F.col("_us"), F.lit(width))
-    next_start = F.col("_own") + width
-    seen_later = F.col("_us") > next_start - span
-    cut = (
+    known = (
         samples.where(F.col("value").isNotNull()).withColumn("_series", series_id())
         .withColumn("_us", micros(F.col("ts")))
-        .withColumn("_own", own)
-        .withColumn(
-            "_chunk",
-            F.explode(F.when(seen_later, F.array("_own", next_start)).otherwise(F.array("_own"))),
-        )
+    )
+    if chunk_rows is None:
+        width = max(chunk_s or max(3600, 12 * window_s), window_s) * SECOND
+        own = F.col("_us") - F.pmod(F.col("_us"), F.lit(width))
+        known = known.withColumns({"_own": own, "_width": F.lit(width)})
+    else:
+        known = _by_rows(known, span, chunk_rows)
+    next_start = F.col("_own") + F.col("_width")
+    seen_later = F.col("_us") > next_start - span
+    cut = known.withColumn(
+        "_chunk",
+        F.explode(F.when(seen_later, F.array("_own", next_start)).otherwise(F.array("_own"))),
     )
     series = Window.partitionBy("metric", "_series", "_chunk")
     upwards = series.orderBy("_us")

@@ -304,6 +304,16 @@ def counter_rate(spark, sf):
     )
 
 
+@query("counter_rate_by_rows", f"select metric, name, instance, ts, {rounded('rate', 6)} as rate "
+       "from panel_rates")
+def _(spark, sf):
+    # Few rows a chunk, so that the test tables have dense series too.
+    return metrics.counter_rate(_containers(spark, sf), PANEL_WINDOW_S, chunk_rows=2).select(
+        "metric", metrics.label("name").alias("name"),
+        metrics.label("instance").alias("instance"), "ts", _six("rate"),
+    )
+
+
 @query("cpu_percent_by_name", "select * from cpu")
 def _(spark, sf):
     return metrics.cpu_percent(_containers(spark, sf), RATE_WINDOW_S).select(
