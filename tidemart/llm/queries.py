@@ -7,7 +7,6 @@ from tidemart.llm import (
     wavelet,
 )
 
-
 QUERIES = {
     "op1_hidden_markov_scores": hmm.op1_hidden_markov_scores,
     "op2_toxicity_severity": toxicity.op2_toxicity_severity,
