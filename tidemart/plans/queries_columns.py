@@ -11,7 +11,7 @@ from tidemart.operators import filters, staging
 from tidemart.plans import inputs
 from tidemart.plans.inputs import AS_OF, RANGE, RUN_DATE
 from tidemart.plans.oracle import money, rounded
-from tidemart.plans.queries_models import models
+from tidemart.plans.queries_models import models, shown
 from tidemart.plans.registry import query
 from tidemart.sources.tables import scan_source
 
@@ -162,11 +162,11 @@ def _(spark, sf):
 @query("coalesce", "select order_id, ifnull(net_revenue, 0.0) as net_revenue, "
        "ifnull(line_count, 0) as line_count from order_revenue")
 def _(spark, sf):
-    return models(spark, sf)["order_revenue"].select(
+    return shown(models(spark, sf)["order_revenue"].select(
         "order_id",
         F.coalesce("net_revenue", F.lit(0.0)).alias("net_revenue"),
         F.coalesce("line_count", F.lit(0)).alias("line_count"),
-    )
+    ))
 
 
 @query("nullif", "select l_orderkey, l_linenumber, case when l_tax <> 0 then l_tax end as tax, "
