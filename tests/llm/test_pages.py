@@ -207,6 +207,15 @@ def test_exact_search_of_odd_rows(spark):
     assert exact_search.search(vectors.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+def test_searches_with_clashing_columns(spark):
+    vectors = spark.createDataFrame(
+        [(i, [float(i % 7) - 3, 1.0, float(i)], "r", 1, 2.0, "l", 0) for i in range(200)],
+        "vec_id long, embedding array<float>, row string, list int, distance double, pivot string, kind int")
+    plain = vectors.select("vec_id", "embedding")
+    for search, where in ((exact_search.search, "vec_id % 20 = 0"), (permutations.search, "vec_id % 100 = 0")):
+        assert sorted(map(tuple, search(vectors, where).collect())) == sorted(map(tuple, search(plain, where).collect()))
+
+
 def test_searches_equal_brute_force(spark):
     random = np.random.default_rng(8)
     x = random.normal(size=(1500, 12)).astype(np.float32)

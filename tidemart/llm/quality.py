@@ -8,6 +8,12 @@ labelled documents that were held out, and their log odds are combined.
 
 The classifiers are fitted on bounded samples (``sample_rows`` labelled and as
 many unlabelled documents); every document is scored.
+
+Handling: a null text is measured as empty; null source, language and length are values of
+their own. Texts are read whole, however long. Rows that repeat are scored alike, each for itself, and are
+one row of the sample. Labels with a null id or grade, or of documents that are not there, take no
+part; of two labels of an id the better counts. Equally sure documents of the pool are taken in
+the order of their hash. Only the named columns are read and made columns begin with ``#``, so others may have any name.
 """
 
 from __future__ import annotations

@@ -9,6 +9,12 @@ holds, in proportion to its length. The model is fitted on a bounded sample of
 labelled rows (``sample_rows``) and scores every document. The chance from which
 a document counts as toxic is the one with the best F1 on a quarter of the
 sample that was held out.
+
+Handling: a null or empty text has score 0 and the grade that the thresholds give it. Texts
+are read whole, however long. Rows that repeat are scored alike, each for itself, and are one row of the
+sample. Labels with a null id or grade, or of documents that are not there, take no part; of two
+labels of an id the worse counts. Words as telling as each other are ranked by their bytes. Only the named columns
+are read and made columns begin with ``#``, so others may have any name.
 """
 
 from __future__ import annotations
