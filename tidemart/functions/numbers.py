@@ -18,64 +18,42 @@ def gross_price(extended_price: Column, discount: Column, tax: Column) -> Column
 
 
 # A sum is kept in whole-number limbs of 24 bits. A long holds the sum of 2^39 of them.
-LIMB_BITS = 24
-LIMB = float(1 << LIMB_BITS)
-LIMB_MASK = (1 << LIMB_BITS) - 1
+LIMB = 1 << 24
 WHOLE_LIMIT = float(1 << 62)
 
 
-def _limbs(value: Column) -> list[Column]:
-    """Whole numbers, lowest first, whose sum times 2^-72, 2^-48, ... 2^48 is the value.
+def _limbs(value: str) -> list[tuple[str, float]]:
+    """Whole numbers with the sign of the value, and what each is worth: 2^-72, 2^-48, 2^-24, 1 and 2^24.
 
-    Every step is exact: a double less its whole part, and a double times a power
-    of two. Bits below 2^-72 are cut off, value by value.
+    Every step is exact: a double less its whole part, a double times a power of
+    two, and remainders of longs. Bits below 2^-72 are cut off, value by value.
     """
-    whole = value.cast("long")
-    parts, rest = [], value - whole
-    for _ in range(3):
-        rest = rest * LIMB
-        parts.insert(0, rest.cast("long"))
-        rest = rest - parts[0]
-    low = [whole.bitwiseAND(F.lit(LIMB_MASK)), F.shiftright(whole, LIMB_BITS).bitwiseAND(F.lit(LIMB_MASK))]
-    return [*parts, *low, F.shiftright(whole, 2 * LIMB_BITS)]
-
-
-def _carried(limbs: list[Column]) -> list[Column]:
-    """The same number with every limb but the highest between 0 and 2^24."""
-    out, carry = [], None
-    for limb in limbs:
-        limb = limb if carry is None else limb + carry
-        carry = F.shiftright(limb, LIMB_BITS)
-        out.append(limb.bitwiseAND(F.lit(LIMB_MASK)))
-    return [*out[:-1], limb]
-
-
-def _number(limbs: list[Column]) -> Column:
-    """The nearest double; above 2^24 there is one rounding more."""
-    def pair(k: int) -> Column:
-        return (limbs[k + 1] * F.lit(1 << LIMB_BITS) + limbs[k]) * F.lit(2.0 ** (LIMB_BITS * (k - 3)))
-
-    top = limbs[5].cast("double") * F.lit(2.0 ** (2 * LIMB_BITS)) + limbs[4] * F.lit(LIMB)
-    return pair(0) + pair(2) + top
+    whole = f"CAST({value} AS BIGINT)"
+    scaled = f"(({value} - {whole}) * {float(LIMB**2)!r}D)"
+    middle = f"CAST({scaled} AS BIGINT)"
+    lowest = f"CAST(({scaled} - {middle}) * {float(LIMB)!r}D AS BIGINT)"
+    return [(lowest, float(LIMB) ** -3), (f"{middle} % {LIMB}", float(LIMB) ** -2), (f"{middle} DIV {LIMB}", 1.0 / LIMB),
+            (f"{whole} % {LIMB}", 1.0), (f"{whole} DIV {LIMB}", float(LIMB))]
 
 
 def exact_sum(df: DataFrame, name: str) -> Column:
     """Sum that is the same, bit for bit, in any order and partitioning of the rows.
 
     Integers and decimals are summed as they are. Doubles are cut into
-    whole-number limbs, which add without rounding, and are put together once; a
-    sum of up to 5e11 rows a group is exact to 2^-72 a row. NaN, infinities and
+    whole-number limbs, which add without rounding, and are put together once, to
+    the nearest double or its neighbour, for up to 5e11 rows a group. NaN, infinities and
     values from 2^62 on (4.6e18) are added as doubles on top.
     """
     if df.schema[name].dataType.typeName() not in ("double", "float"):
         return F.sum(name)
-    value = F.col(name).cast("double")
-    common = F.abs(value) < WHOLE_LIMIT
-    sums = [F.coalesce(F.sum(limb), F.lit(0)) for limb in _limbs(F.when(common, value))]
-    below = _carried(sums)[-1] < 0
-    total = F.when(below, -_number(_carried([-s for s in sums]))).otherwise(_number(_carried(sums)))
-    others = F.sum(F.when(~common, value))
-    return F.when(F.count(value) > 0, F.coalesce(others + total, total))
+    # As one text, since a column made piece by piece takes a call to the JVM for every piece.
+    value = f"CAST(`{name}` AS DOUBLE)"
+    common = f"abs({value}) < {WHOLE_LIMIT!r}D"
+    lowest, low, part, one, top = [
+        f"sum({limb}) * {worth!r}D" for limb, worth in _limbs(f"(CASE WHEN {common} THEN {value} END)")]
+    total = f"(({top} + {one}) + ({part} + ({low} + {lowest})))"
+    others = f"sum(CASE WHEN NOT {common} THEN {value} END)"
+    return F.expr(f"coalesce({total} + {others}, {total}, {others})")
 
 
 def exact_avg(df: DataFrame, name: str) -> Column:
