@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,16 @@ def given(spark: SparkSession, schema: str, *rows: dict) -> DataFrame:
     )
 
 
+def write_events(spark: SparkSession, folder, *rows: tuple) -> None:
+    """A table of events from (minute of 5 January 2024, user, type, value, k)."""
+    start = dt.datetime(2024, 1, 5)
+    spark.createDataFrame(
+        [(i, start + dt.timedelta(minutes=minute), user, kind, value, f'{{"k": {k}}}')
+         for i, (minute, user, kind, value, k) in enumerate(rows)],
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    ).write.parquet(f"{folder}/events.parquet")
+
+
 def values(df: DataFrame, *columns: str) -> list[tuple]:
     """Sorted rows of some columns."""
     names = columns or df.columns

@@ -5,13 +5,17 @@ import glob
 import random
 from decimal import Decimal
 
+import duckdb
 import pytest
+from comparison import differences
 from pyspark.sql import functions as F
-from support import given, operators, values
+from support import given, operators, values, write_events
 
 from tidemart.operators import joins, unified
 from tidemart.operators.quality import dq_grain
 from tidemart.operators.staging import SOURCE_A, SOURCE_B, pack_extra, stg_platform
+from tidemart.plans import queries_flows
+from tidemart.plans.registry import load_entries
 from tidemart.schemas import FACT_DDL, ContractError, check_contract, contract_report
 from tidemart.sources.facts import read_fact, write_fact
 
@@ -127,6 +131,23 @@ def test_contract_report_names_every_column(spark):
     assert contract_report("empty", good.limit(0).select(), "a int").first().ok is False
 
 
+def test_contract_query_returns_the_whole_fact(spark, tmp_path, monkeypatch):
+    """Every row of the fact under the contract, not a report on it; a broken contract is an error."""
+    write_events(spark, tmp_path, (1, 7, "view", 1.5, 3), (2, 7, "view", 2.5, 3), (3, 8, "purchase", 4.25, 11),
+                 (4, 8, "purchase", 1.0, 20), (5, 9, "click", 1.0, 1))
+    entry = load_entries()["dq_schema_contract"]
+    got = entry.run(spark, str(tmp_path))
+    assert values(got, "artist_id", "track_id", "streams", "revenue", "source") == sorted([
+        ("7", "3", 2, None, "source_a"), ("8", "11", 1, 4.25, "source_b"), ("8", "20", 1, None, "source_b")], key=repr)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert differences(got, con, entry.sql) == []
+    whole = queries_flows.fact_rows
+    monkeypatch.setattr(queries_flows, "fact_rows", lambda *a: whole(*a).withColumnRenamed("source", "note"))
+    with pytest.raises(ContractError):
+        entry.run(spark, str(tmp_path))
+
+
 def test_dashboard_counts_distinct_tracks(spark):
     rows = fact(spark, row(1, "x", "t", 1, "1"), row(1, "x", "t", 2, "2"), row(1, "x", "u", 4),
                 row(1, "x", "u", 8, source="b"))
