@@ -3,12 +3,16 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import duckdb
 import pytest
+from comparison import differences
 from pyspark.sql import functions as F
-from support import values
+from support import values, write_events
 
 from tidemart.operators import metrics
 from tidemart.operators.metrics import MEMORY, MEMORY_LIMIT
+from tidemart.plans.inputs import LAKE_GAUGES, RANGE
+from tidemart.plans.registry import load_entries
 from tidemart.schemas import SAMPLE_DDL
 
 START = dt.datetime(2024, 1, 1)
@@ -169,6 +173,23 @@ def test_a_metric_that_stops_leaves_a_gap(spark, stale_s, want):
     assert [((r.ts - START).total_seconds(), r.value) for r in df.orderBy("ts").collect()] == want
 
 
+@pytest.mark.parametrize("key, gauges", [("lake_growth", ("lake_snapshots", "lake_data_files"))])
+def test_growth_queries_carry_gauges_to_the_end(spark, tmp_path, key, gauges):
+    """A gauge that stops after one reading has a row for every step of the panel that is left."""
+    start, end = map(dt.datetime.fromisoformat, RANGE)
+    write_events(spark, tmp_path, *[(125, LAKE_GAUGES.index(name), "view", 2.5 + i, 1) for i, name in enumerate(gauges)],
+                 (125, LAKE_GAUGES.index("lake_tables"), "view", 9.0, 1))
+    entry = load_entries()[key]
+    got = entry.run(spark, str(tmp_path))
+    first, step = start + dt.timedelta(minutes=120), dt.timedelta(minutes=30)
+    steps = [first + k * step for k in range((end - first) // step + 1)]
+    assert values(got, "metric", "ts", "value") == sorted(
+        [(name, at, 2.5 + i) for i, name in enumerate(gauges) for at in steps], key=repr)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert differences(got, con, entry.sql) == []
+
+
 def test_current_gauges(spark):
     rows = [("lake_snapshot_age_seconds", {}, 0, 10.0), ("lake_snapshot_age_seconds", {}, 9, 400.0),
             ("lake_tables", {}, 0, 3.0), ("lake_data_files", {}, 0, 3.0)]
