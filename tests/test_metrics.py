@@ -173,7 +173,8 @@ def test_a_metric_that_stops_leaves_a_gap(spark, stale_s, want):
     assert [((r.ts - START).total_seconds(), r.value) for r in df.orderBy("ts").collect()] == want
 
 
-@pytest.mark.parametrize("key, gauges", [("lake_growth", ("lake_snapshots", "lake_data_files"))])
+@pytest.mark.parametrize("key, gauges", [("lake_growth", ("lake_snapshots", "lake_data_files")),
+                                         ("storage_growth", ("lake_storage_bytes",))])
 def test_growth_queries_carry_gauges_to_the_end(spark, tmp_path, key, gauges):
     """A gauge that stops after one reading has a row for every step of the panel that is left."""
     start, end = map(dt.datetime.fromisoformat, RANGE)
