@@ -10,18 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import minhash, mixing, packing, quality, toxicity
-from tidemart.llm.common import stage, table
+from tidemart.llm.common import small_batches, stage, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.keep_first(docs)
 
 
@@ -30,6 +33,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs, packing.default_vocabulary())
 
 

@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from comparison import connect, differences
@@ -254,3 +255,30 @@ def test_pipeline(spark, sf, odd_docs):
     for name, step in corpus_pipeline.STAGES[:-1]:
         docs = step(spark, docs, sf)
         assert docs.columns == odd_docs.columns, name
+
+
+@pytest.mark.parametrize("name, module, function", [
+    ("quality", "quality", "keep_good"), ("toxicity", "toxicity", "drop_toxic"), ("near_duplicates", "minhash", "keep_first"),
+    ("packing", "packing", "pack_documents")])
+def test_stages_of_the_pipeline_pass_texts_in_small_batches(spark, tmp_path, monkeypatch, name, module, function):
+    """Every text reaches Python, whole, and no batch holds much more than 4 MB or one text."""
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    size, n = 500_000, 40
+    spark.range(n).coalesce(1).select(F.repeat(F.lit("a"), size).alias("text")).write.parquet(f"{tmp_path}/texts")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.num_rows]), pa.array([sum(len(x.as_py()) for x in batch.column(0))])], ["rows", "chars"])
+
+    monkeypatch.setattr(getattr(corpus_pipeline, module), function,
+                        lambda docs, *more: docs.mapInArrow(sizes, "rows long, chars long"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    try:
+        step = dict(corpus_pipeline.STAGES)[name]
+        found = step(spark, spark.read.parquet(f"{tmp_path}/texts"), str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(key)
+    assert sum(r.rows for r in found) == n and sum(r.chars for r in found) == n * size
+    assert max(r.chars for r in found) <= (4 << 20) + size
