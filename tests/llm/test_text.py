@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tables import marked_docs, marks, no_docs, odd_docs  # noqa: F401
@@ -195,6 +197,28 @@ def test_packed_sequences_hold_the_ids(odd_docs):
     assert unpacked == want
 
 
+def test_ids_that_were_handed_on_are_freed(spark):
+    """What a Python worker holds does not grow with the texts that it has cut into pieces."""
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = packing.pieces(Docs(), VOCABULARY)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["some words " * 3000] * 40)], ["doc_id", "text"])
+    held = []
+    tracemalloc.start()
+    try:
+        for _ in range(4):
+            assert sum(sum(found.column(3).to_pylist()) for found in run(iter([batch]))) == 40 * 6001
+            held.append(tracemalloc.get_traced_memory()[0])
+    finally:
+        tracemalloc.stop()
+    assert held[-1] - held[0] < 100_000, held  # the ids of a batch are 960 kB
+
+
 def test_sum_of_squares_rule():
     """Every piece goes where the sum of squares becomes smallest."""
     random = np.random.default_rng(1)

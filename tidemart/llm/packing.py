@@ -51,8 +51,8 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, id_column: st
         for batch in batches:
             names = batch.column(0).to_pylist()
             for first, ids, ends in encoder.batch(batch.column(1)):
-                # Every document ends with id 0.
-                data = memoryview(np.insert(ids, ends[1:], 0).astype("<u4").tobytes())
+                # Every document ends with id 0. Bytes, not a memoryview: Arrow never lets go of a view it has read.
+                data = np.insert(ids, ends[1:], 0).astype("<u4").tobytes()
                 rows, held = [], 0
                 begins = (ends + np.arange(len(ends))).tolist()
                 for doc, low, high in zip(names[first:], begins[:-1], begins[1:]):
